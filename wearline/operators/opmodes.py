@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from wearline.operators.quality import require_rows
 from wearline.schema import OP_MODES_K, OP_MODES_RESTARTS, SEED, SETTINGS
+from wearline.session import stored
 
 MAX_ITERATIONS = 300
 PARALLEL_FITS = 4
+POINTS_PER_TASK = 20_000
 _POINT, _MODE, _WEIGHT = "_point", "_mode", "_weight"
 
 
@@ -75,15 +77,16 @@ def fit_op_modes(
     on one task. Fewer distinct points than ``k`` give fewer clusters.
     """
     require_rows(readings, k, f"fit {k} operating modes")
-    points = readings.groupBy(*settings).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
-    assembler = VectorAssembler(inputCols=list(settings), outputCol=_POINT)
-    # A fixed placement and order of the points makes the seeds reproducible.
     spark = readings.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = points.repartition(parts, *settings).sortWithinPartitions(*settings)
-    data = assembler.transform(placed).select(_POINT, _WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        data.count()
+    merged = readings.groupBy(*settings).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
+    assembler = VectorAssembler(inputCols=list(settings), outputCol=_POINT)
+    with stored(merged, "settings") as points:
+        # A placement and order that depend on the points alone make the seeds reproducible.
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = min(most, points.count() // POINTS_PER_TASK + 1)
+        placed = points.repartition(parts, *settings).sortWithinPartitions(*settings)
+        data = assembler.transform(placed).select(_POINT, _WEIGHT)
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
 
         def fit(start: int) -> tuple[float, KMeansModel]:
             model = KMeans(
@@ -96,11 +99,10 @@ def fit_op_modes(
             ).fit(data)
             return model.summary.trainingCost, model
 
-        # The fits are independent jobs over the same stored points.
+        # The fits are independent jobs over the same points.
         with ThreadPoolExecutor(min(restarts, PARALLEL_FITS)) as pool:
             starts = range(seed, seed + restarts)
             fits = list(pool.map(inheritable_thread_target(spark)(fit), starts))
-    finally:
         data.unpersist()
     cost, model = min(fits, key=lambda f: f[0])
     return OpModeModel(PipelineModel(stages=[assembler, model]), cost)

@@ -544,7 +544,10 @@ placed AS (
   FROM labelled)
 SELECT id, cycle, label2, place <= quota AS held_out FROM placed JOIN quotas USING (label2)""")
 def stratified_hold_out(spark, sf_dir):
-    rows = _event_features(events_panel(spark, sf_dir)).select("id", "cycle", "label2")
+    out = scratch(spark, "labels")
+    labelled = _event_features(events_panel(spark, sf_dir)).select("id", "cycle", "label2")
+    jobs.write_features(labelled, out)
+    rows = spark.read.parquet(out)
     return stratified_split(rows, "label2", ["id", "cycle"], 0.2, 42).select(
         "id", "cycle", "label2", HELD_OUT
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a path made by :func:`scratch`."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back, for jobs that pass over it many times.
+
+    The copy has a short lineage and outlives lost executors; it is deleted at the end.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+        yield spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    finally:
+        discard(spark, path)
