@@ -96,6 +96,8 @@ def fit_op_modes(
                 featuresCol=_POINT,
                 predictionCol=_MODE,
                 weightCol=_WEIGHT,
+                # The block solver fails when there are fewer distinct points than k.
+                solver="row",
             ).fit(data)
             return model.summary.trainingCost, model
 
