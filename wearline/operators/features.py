@@ -66,16 +66,15 @@ def build_features(
     )
     rows, end = with_rolling_stats(base, layout, sensors, window_rows)
 
+    # The modes come first: their join keeps the order by cycle that the truth join can reuse.
+    if isinstance(op_modes, DataFrame):
+        rows = _join_op_modes(rows, op_modes, run_id, layout)
+    beyond = None
     if kind == "test":
         known = layout.place_groups(_of_run(truth, run_id, ["id", "rul_at_maxcycle"]))
         rows = rows.join(known, list(layout.placed_by), "inner")
-        rul = remaining_life(F.col(end), F.col("cycle"), F.col("rul_at_maxcycle"))
-    else:
-        rul = remaining_life(F.col(end), F.col("cycle"))
-    rows = rows.withColumn("rul", rul)
-
-    if isinstance(op_modes, DataFrame):
-        rows = _join_op_modes(rows, op_modes, run_id, layout)
+        beyond = F.col("rul_at_maxcycle")
+    rows = rows.withColumn("rul", remaining_life(F.col(end), F.col("cycle"), beyond))
 
     stats = [f"{prefix}{j}" for j in range(1, len(sensors) + 1) for prefix in ("a", "sd")]
     out = rows.select(

@@ -15,7 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_GROUP_ROWS = 2_000_000
+from wearline.session import checkpointed
+
+MAX_GROUP_ROWS = 1_000_000
 BLOCK_WIDTH = 65_536
 MAX_BROADCAST_GROUPS = 500_000
 
@@ -100,6 +102,8 @@ def measure(
     count = long.count()
     if count == 0:
         return Layout(keys, time, block_of, None)
+    # Found once; the joins below would otherwise each count the groups again.
+    long = checkpointed(long)
     # Past the bound the join is left to shuffle; adaptive execution splits its hot keys.
     return Layout(keys, time, block_of, F.broadcast(long) if count <= MAX_BROADCAST_GROUPS else long)
 

@@ -36,7 +36,7 @@ def events_panel(
     # Keys get their final names here, so that the windows to come share one shuffle.
     rows = table(spark, sf_dir, "events").select(
         F.lit("ev").alias("run_id"),
-        F.col("user_id").cast("int").alias("id"),
+        F.col("user_id").alias("id"),
         "ts",
         "event_id",
         hour.alias("setting1"),
@@ -71,8 +71,8 @@ def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``run_id, id, cycle, price``: customers over their order numbers."""
     return table(spark, sf_dir, "orders").select(
         F.lit("orders").alias("run_id"),
-        F.col("o_custkey").cast("int").alias("id"),
-        F.col("o_orderkey").cast("int").alias("cycle"),
+        F.col("o_custkey").alias("id"),
+        F.col("o_orderkey").alias("cycle"),
         F.col("o_totalprice").alias("price"),
     )
 
@@ -81,7 +81,7 @@ def orders_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``run_id, id, rul_at_maxcycle``: number of orders of each customer."""
     return (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").cast("int").alias("id"))
+        .groupBy(F.col("o_custkey").alias("id"))
         .agg(F.count(F.lit(1)).cast("int").alias("rul_at_maxcycle"))
         .select(F.lit("ev").alias("run_id"), "id", "rul_at_maxcycle")
     )

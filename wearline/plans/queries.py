@@ -61,7 +61,7 @@ def query(oracle: str) -> Callable[[Query], Query]:
 PANEL = """
 panel AS (
   SELECT 'ev' AS run_id,
-         CAST(user_id AS INTEGER) AS id,
+         user_id AS id,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS cycle,
          CAST(hour(ts) AS DOUBLE) AS setting1,
          CAST(isodow(ts) AS DOUBLE) AS setting2,
@@ -74,7 +74,7 @@ panel AS (
 
 TRUTH = """
 truth AS (
-  SELECT CAST(o_custkey AS INTEGER) AS id, CAST(count(*) AS INTEGER) AS rul_at_maxcycle
+  SELECT o_custkey AS id, CAST(count(*) AS INTEGER) AS rul_at_maxcycle
   FROM orders GROUP BY o_custkey)"""
 
 LABEL_SQL = """CASE WHEN rul <= 30 THEN 1 ELSE 0 END AS label1,
@@ -223,8 +223,8 @@ def last_cycle_per_engine(spark, sf_dir):
 @query(
     f"""
 WITH lives AS (
-  SELECT CAST(o_custkey AS INTEGER) AS id, CAST(o_orderkey AS INTEGER) AS cycle, o_totalprice AS price,
-         CAST(max(o_orderkey) OVER (PARTITION BY o_custkey) - o_orderkey AS INTEGER) AS rul,
+  SELECT o_custkey AS id, o_orderkey AS cycle, o_totalprice AS price,
+         max(o_orderkey) OVER (PARTITION BY o_custkey) - o_orderkey AS rul,
          round(avg(o_totalprice) OVER w, 6) AS a1, round(stddev_samp(o_totalprice) OVER w, 6) AS sd1
   FROM orders
   WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
@@ -251,7 +251,8 @@ def feature_table_roundtrip(spark, sf_dir):
 # --- text files -------------------------------------------------------------------------
 
 _TEXT_SQL = f"""
-WITH {PANEL} SELECT id, cycle, setting1, setting2, setting3, s1, s2, s3, CAST(NULL AS DOUBLE) AS s4 FROM panel"""
+WITH {PANEL}
+SELECT CAST(id AS INTEGER) AS id, cycle, setting1, setting2, setting3, s1, s2, s3, CAST(NULL AS DOUBLE) AS s4 FROM panel"""
 
 
 def _through_text(spark, sf_dir, **options):
@@ -368,7 +369,7 @@ def delete_run(spark, sf_dir):
 
 @query(f"""
 WITH {PANEL}
-SELECT 'm1' AS model_id, event_type AS run_id, id, cycle,
+SELECT 'm1' AS model_id, event_type AS run_id, CAST(id AS INTEGER) AS id, cycle,
        CAST(CASE WHEN event_type IN ('click', 'view') THEN length(event_type) ELSE 0 END AS INTEGER) AS label_pred,
        round(s2 / 100, 6) AS p0, round(1 - s2 / 100, 6) AS p1
 FROM panel WHERE event_type <> 'error'""")
@@ -377,7 +378,7 @@ def replace_predictions(spark, sf_dir):
     tables = Tables(spark, scratch(spark, "predictions"))
     rows = runs_panel(spark, sf_dir).select(
         "run_id",
-        "id",
+        F.col("id").cast("int").alias("id"),
         "cycle",
         F.length("event_type").cast("int").alias("label_pred"),
         F.create_map(F.lit("0"), F.col("s2") / 100, F.lit("1"), 1 - F.col("s2") / 100).alias("proba"),
@@ -656,7 +657,7 @@ def train_lr(spark, sf_dir):
 
 @query(f"""
 WITH {_LABELLED}
-SELECT id::BIGINT AS id, cycle::BIGINT AS cycle, label2::BIGINT AS y_true, TRUE AS sums_to_one, TRUE AS keys_are_classes,
+SELECT id, cycle::BIGINT AS cycle, label2::BIGINT AS y_true, TRUE AS sums_to_one, TRUE AS keys_are_classes,
        TRUE AS most_probable, TRUE AS wide_agrees
 FROM labelled""")
 def predict_invariants(spark, sf_dir):
@@ -681,7 +682,7 @@ def predict_invariants(spark, sf_dir):
 
 
 @query(f"""
-WITH {_LABELLED} SELECT id::BIGINT AS id, cycle::BIGINT AS cycle, TRUE AS same_label, TRUE AS same_proba FROM labelled""")
+WITH {_LABELLED} SELECT id, cycle::BIGINT AS cycle, TRUE AS same_label, TRUE AS same_proba FROM labelled""")
 def registry_roundtrip(spark, sf_dir):
     """A registered model, loaded again, scores every row as before."""
     tables = Tables(spark, scratch(spark, "registry"))
