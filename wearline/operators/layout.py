@@ -4,7 +4,7 @@ A panel is ordered within its groups (engines, users). Usually a group is short
 and one shuffle by group key is the best plan. A group may also hold a large
 share of all rows; such long groups are cut into blocks of consecutive time, so
 that no task ever holds one of them whole. Which groups are long is measured
-with one pass over the key and time columns, before the plan is chosen.
+with one pass over the key columns, before the plan is chosen.
 """
 
 from __future__ import annotations
@@ -82,28 +82,26 @@ def measure(
 ) -> Layout:
     """Find the long groups of ``df`` and choose the layout.
 
-    Reads the key and time columns only and aggregates before its shuffle.
+    Counts rows per group, which reads the key columns only and aggregates
+    before its shuffle; the times are read only if there are long groups.
     ``max_group_rows=None`` skips the pass for a panel known to have short groups.
     """
     keys = tuple(keys)
     block_of = block_of or int_block()
     if max_group_rows is None:
         return Layout(keys, time, block_of, None)
+    rows = F.count(F.lit(1))
+    if df.groupBy(*keys).agg(rows.alias("_rows")).where(F.col("_rows") > max_group_rows).isEmpty():
+        return Layout(keys, time, block_of, None)
     long = (
         df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min(time).alias(FIRST),
-            F.max(time).alias(LAST),
-        )
+        .agg(rows.alias("_rows"), F.min(time).alias(FIRST), F.max(time).alias(LAST))
         .where(F.col("_rows") > max_group_rows)
         .drop("_rows")
     )
-    count = long.count()
-    if count == 0:
-        return Layout(keys, time, block_of, None)
     # Found once; the joins below would otherwise each count the groups again.
     long = checkpointed(long)
+    count = long.count()
     # Past the bound the join is left to shuffle; adaptive execution splits its hot keys.
     return Layout(keys, time, block_of, F.broadcast(long) if count <= MAX_BROADCAST_GROUPS else long)
 
