@@ -24,7 +24,7 @@ HEADLINE = [
     "features_test",
     "features_window10",
     "features_multi_run",
-    "features_opmode_left_join",
+    "features_modes_left_join",
     "features_21_sensors",
     "features_split_engines",
     "rul_labels_orders",
@@ -37,8 +37,8 @@ HEADLINE = [
     "metrics_by_run",
     "min_max_scale",
     "stratified_hold_out",
-    "opmode_assign_fixed",
-    "opmode_fit",
+    "modes_of_fixed_centres",
+    "modes_fitted",
     "train_rf",
     "train_lr",
     "predict_invariants",

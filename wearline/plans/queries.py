@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.functions import min_max_scaled, nan_to_num, three_class_label
+from wearline.functions import min_max_scaled, nan_to_num, proba_columns, three_class_label
 from wearline.operators import catalogue, metrics, quality
 from wearline.operators.features import build_features, last_cycle
 from wearline.operators.opmodes import fit_op_modes, nearest_centre
-from wearline.operators.scoring import evaluate, score, wide_predictions
+from wearline.operators.scoring import evaluate, score
 from wearline.operators.split import HELD_OUT, stratified_split
 from wearline.operators.training import (
     TrainResult,
@@ -181,7 +181,7 @@ def features_null_sensor(spark, sf_dir):
 
 
 @query(_features_sql(extra="CASE WHEN event_type <> 'view' THEN CAST(length(event_type) AS BIGINT) END AS operationmode, "))
-def features_opmode_left_join(spark, sf_dir):
+def features_modes_left_join(spark, sf_dir):
     panel = events_panel(spark, sf_dir)
     modes = panel.where(F.col("event_type") != "view").select(
         "run_id", "id", "cycle", F.length("event_type").cast("long").alias("operationmode")
@@ -567,7 +567,7 @@ WITH {PANEL}, far AS (
   SELECT id, cycle, unnest([{", ".join(f"{{'d': (setting1-{a})*(setting1-{a})+(setting2-{b})*(setting2-{b})+(setting3-{c})*(setting3-{c}), 'i': {i}}}" for i, (a, b, c) in enumerate(CENTRES))}]) AS x
   FROM panel)
 SELECT id, cycle, CAST(min(x).i AS BIGINT) AS operationmode FROM far GROUP BY id, cycle""")
-def opmode_assign_fixed(spark, sf_dir):
+def modes_of_fixed_centres(spark, sf_dir):
     panel = events_panel(spark, sf_dir)
     return nearest_centre(panel, CENTRES).select("id", "cycle", "operationmode")
 
@@ -588,7 +588,7 @@ def _flag_settings(spark, sf_dir):
 @query("""
 SELECT l_returnflag, l_linestatus, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_modes, CAST(1 AS BIGINT) AS n_corners_of_mode
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
-def opmode_fit(spark, sf_dir):
+def modes_fitted(spark, sf_dir):
     """Six modes fitted to six clouds: each cloud gets one mode and each mode one cloud."""
     rows = _flag_settings(spark, sf_dir)
     model = fit_op_modes(rows)
@@ -668,19 +668,18 @@ def predict_invariants(spark, sf_dir):
     features = _stored_features(spark, sf_dir)
     model = train_logistic_regression(features).model
     scored = score(model, features)
-    wide = wide_predictions(scored.withColumn("proba", F.col("proba")), model)
-    names = [f"proba_{c}" for c in model.classes]
-    checked = wide.select("id", "cycle", F.greatest(*names).alias("best"), sum(map(F.col, names[1:]), F.col(names[0])).alias("total"))
+    wide = [p.alias(f"w{i}") for i, p in enumerate(proba_columns("proba", model.classes))]
     p = F.map_values("proba")
     total = F.aggregate(p, F.lit(0.0), lambda s, x: s + x)
-    return scored.join(checked, ["id", "cycle"]).select(
+    names = F.array(*[F.lit(str(c)) for c in model.classes])
+    return scored.select("*", *wide).select(
         "id",
         "cycle",
         "y_true",
         (F.abs(total - 1) < 1e-6).alias("sums_to_one"),
-        (F.map_keys("proba") == F.array(*[F.lit(str(c)) for c in model.classes])).alias("keys_are_classes"),
+        (F.map_keys("proba") == names).alias("keys_are_classes"),
         (F.col("proba")[F.col("label_pred").cast("string")] == F.array_max(p)).alias("most_probable"),
-        ((F.col("best") == F.array_max(p)) & (F.abs(F.col("total") - total) < 1e-9)).alias("wide_agrees"),
+        (F.array(*[f"w{i}" for i in range(len(wide))]) == p).alias("wide_agrees"),
     )
 
 
@@ -746,7 +745,7 @@ UNION ALL SELECT 'test features', n FROM tested
 UNION ALL SELECT 'evaluated', n FROM n
 UNION ALL SELECT 'predicted', n FROM n
 UNION ALL SELECT 'predicted again', n FROM n""")
-def pipeline_end_to_end(spark, sf_dir):
+def jobs_end_to_end(spark, sf_dir):
     """All jobs from text files to stored predictions; rows handled per stage."""
     root = scratch(spark, "deployment")
     tables = Tables(spark, f"{root}/tables")
