@@ -258,10 +258,10 @@ WITH {PANEL}
 SELECT CAST(id AS INTEGER) AS id, cycle, setting1, setting2, setting3, s1, s2, s3, CAST(NULL AS DOUBLE) AS s4 FROM panel"""
 
 
-def _through_text(spark, sf_dir, **options):
+def _through_text(spark, sf_dir, files="", **options):
     out = scratch(spark, "sensor-log")
     sensor_lines(events_panel(spark, sf_dir)).write.text(out, **options)
-    return read_sensor_text(spark, out).select("id", "cycle", *EVENT_SETTINGS, *EVENT_SENSORS, "s4")
+    return read_sensor_text(spark, out + files).select("id", "cycle", *EVENT_SETTINGS, *EVENT_SENSORS, "s4")
 
 
 @query(_TEXT_SQL)
@@ -271,7 +271,7 @@ def sensor_text_roundtrip(spark, sf_dir):
 
 @query(_TEXT_SQL)
 def sensor_text_gzip(spark, sf_dir):
-    return _through_text(spark, sf_dir, compression="gzip")
+    return _through_text(spark, sf_dir, "/*.gz", compression="gzip")
 
 
 @query(f"""

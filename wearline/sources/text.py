@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from wearline.schema import READING_COLUMNS
 from wearline.session import checkpointed
 
+COMPRESSED = (".gz", ".bz2", ".zst", ".xz")
+
 # Java would read a number with a type suffix; such a token is not a number here.
 _SUFFIXED = r"[0-9.][dDfF](?: |$)"
 _SUFFIXED_FIELD = r"^(?:[^ ]* ){0,%d}[^ ]*[0-9.][dDfF](?: |$)" % (len(READING_COLUMNS) - 1)
@@ -23,9 +25,9 @@ def _integer(token: Column) -> Column:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines of ``path``; lines of compressed files are spread before any work on them."""
+    """Text lines of ``path``; those of a compressed file are spread before any work on them."""
     lines = spark.read.text(path)
-    if any(name.lower().endswith((".gz", ".bz2", ".zst", ".xz")) for name in lines.inputFiles()):
+    if path.lower().endswith(COMPRESSED):
         # Such a file is one task to read, so it must not also be one task to parse.
         return lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return lines
