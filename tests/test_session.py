@@ -36,6 +36,13 @@ def test_stored_copy_is_deleted(spark):
         spark.read.parquet(path).count()
 
 
+def test_broadcast_only_below_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(session, "MAX_BROADCAST_ROWS", 10)
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(session.broadcast_if_small(spark.range(10)))
+    assert not hinted(session.broadcast_if_small(spark.range(11)))
+
+
 def test_settings_are_applied(spark):
     assert all(spark.conf.get(key) == value for key, value in session.SETTINGS.items())
 

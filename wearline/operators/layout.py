@@ -15,11 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearline.session import checkpointed
+from wearline.session import broadcast_if_small, checkpointed
 
 MAX_GROUP_ROWS = 1_000_000
 BLOCK_WIDTH = 65_536
-MAX_BROADCAST_GROUPS = 500_000
 
 BLOCK = "_block"
 FIRST = "_first_time"
@@ -100,10 +99,7 @@ def measure(
         .drop("_rows")
     )
     # Found once; the joins below would otherwise each count the groups again.
-    long = checkpointed(long)
-    count = long.count()
-    # Past the bound the join is left to shuffle; adaptive execution splits its hot keys.
-    return Layout(keys, time, block_of, F.broadcast(long) if count <= MAX_BROADCAST_GROUPS else long)
+    return Layout(keys, time, block_of, broadcast_if_small(checkpointed(long)))
 
 
 def ordinal(

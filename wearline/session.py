@@ -9,6 +9,9 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 500_000
 
 SETTINGS = {
     # A value that does not parse, or an integer that overflows, must stop the job.
@@ -80,3 +83,13 @@ def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> Iterat
         yield spark.read.schema(df.schema).parquet(path).select(*df.columns)
     finally:
         discard(spark, path)
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` hinted for broadcast if it has at most MAX_BROADCAST_ROWS rows, else as it is.
+
+    Meant for narrow tables that are cheap to read twice. Past the bound the
+    join shuffles and adaptive execution splits its hot keys.
+    """
+    small = df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    return F.broadcast(df) if small else df
