@@ -147,14 +147,19 @@ def exact_groups(docs: DataFrame, *, primes=PRIMES, bases=BASES) -> DataFrame:
     marks = marks.withColumn("_class", F.col("_print"))
     if not differing.isEmpty():
         marks = _split(marks, _chunks(docs, differing, primes, bases))
-    classes = marks.groupBy("_class").agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "_row")).alias("_winner")
+    # Stored, so that the join below has plain exchanges, whose hot keys adaptive execution splits.
+    classes = materialised(
+        marks.groupBy("_class")
+        .agg(F.count(F.lit(1)).alias("_size"), F.max(F.struct("doc_id", "_row")).alias("_winner"))
+        .where("_size > 1"),
+        "exact-classes",
     )
-    return marks.join(classes, "_class").select(
+    alone = F.col("_size").isNull()
+    return marks.join(broadcast_if_small(classes), "_class", "left").select(
         "doc_id",
-        F.col("_winner.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("_row") == F.col("_winner._row")).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_winner.doc_id")).alias("keep_id"),
+        F.coalesce("_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("_row") == F.col("_winner._row"))).alias("kept"),
         F.substring_index("_key", ":", -1).alias("text_sha256"),
         F.col("_print").alias("fingerprint"),
         "_key",
