@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup
+from wearline.llm import exact_dedup, simhash
 
-QUERIES = {"op1_exact_dedup": exact_dedup.op1_exact_dedup}
+QUERIES = {"op1_exact_dedup": exact_dedup.op1_exact_dedup, "op3_simhash": simhash.op3_simhash}
 ORACLES = {"op1_exact_dedup": exact_dedup.OP1_SQL}
