@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup, simhash
+from wearline.llm import exact_dedup, packing, simhash
 
-QUERIES = {"op1_exact_dedup": exact_dedup.op1_exact_dedup, "op3_simhash": simhash.op3_simhash}
+QUERIES = {
+    "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_simhash": simhash.op3_simhash,
+    "op5_packing": packing.op5_packing,
+}
 ORACLES = {"op1_exact_dedup": exact_dedup.OP1_SQL}
