@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from wearline.session import scratch
 
 # Rows and bytes that one Arrow batch may hold; they bound the memory of a Python worker.
-BATCH_ROWS = 512
+BATCH_ROWS = 2048
 BATCH_BYTES = 16 << 20
 
 

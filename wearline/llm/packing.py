@@ -116,7 +116,7 @@ def packed(docs: DataFrame, tokenizer: str, *, length: int = LENGTH, end: int =
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            ids, counts = encode([t or "" for t in batch.column("text").to_pylist()])
+            ids, counts = encode(batch.column("text"))
             for piece in _pieces(batch.column("doc_id").to_pylist(), ids, counts, length, end):
                 held.append(piece)
                 tokens += len(piece[3])

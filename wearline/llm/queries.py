@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup, packing, simhash
+from wearline.llm import exact_dedup, packing, simhash, token_files
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_simhash": simhash.op3_simhash,
     "op5_packing": packing.op5_packing,
+    "op7_token_files": token_files.op7_token_files,
 }
 ORACLES = {"op1_exact_dedup": exact_dedup.OP1_SQL}

@@ -11,18 +11,20 @@ from __future__ import annotations
 
 import functools
 import json
-import re
-from itertools import accumulate
+from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 from wearline.llm.common import gather
 
 # Words remembered by one Python worker; about 200 bytes each. Beyond, it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
-_BEYOND_LATIN = re.compile("[^\x00-ɏ]")
+# Texts that can't be taken word by word.
+BY_WORD_NOT = r"[^\x{0}-\x{24f}]|İ|<\|"
 _STOPS = ".,;:!?"
 
 
@@ -39,22 +41,8 @@ def _latin_letters() -> dict[str, str]:
     return {c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x250)) if c.isalpha()}
 
 
-class _Codes(dict):
-    """Numbers words as they are first seen."""
-
-    def __init__(self) -> None:
-        self.fresh: list[str] = []
-        self.next = 0
-
-    def __missing__(self, word: str) -> int:
-        self[word] = code = self.next
-        self.next += 1
-        self.fresh.append(word)
-        return code
-
-
 class WordEncoder:
-    """Encodes lists of texts; remembers the ids of words."""
+    """Encodes columns of texts; remembers the ids of words."""
 
     def __init__(self, source: str) -> None:
         self.tokenizer = Tokenizer.from_str(source)
@@ -68,7 +56,7 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.codes = _Codes()
+        self.codes: dict[str, int] = {}
         self.marks: dict[str, list[int]] = {}
         self.flat = np.zeros(0, dtype=np.int32)
         self.lengths = np.zeros(0, dtype=np.int64)
@@ -89,39 +77,43 @@ class WordEncoder:
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids if text else []
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order, and how many each text has."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and how many each text has; NULL counts as empty."""
         if len(self.codes) > REMEMBERED:
             self._forget()
-        code_of, codes = self.codes.__getitem__, self.codes
-        used, given = [], {}
-        for i, text in enumerate(texts):
-            if self.by_word and not ("İ" in text or "<|" in text or _BEYOND_LATIN.search(text)):
-                words = text.lower().replace("\n", " ").split(" ")
-                used.append(np.fromiter(map(code_of, words), dtype=np.int64, count=len(words)))
-            else:
-                given[i] = self._whole(text)
-                used.append(np.zeros(0, dtype=np.int64))
-        if codes.fresh:
-            ids = [self._word(w) for w in codes.fresh]
-            codes.fresh.clear()
-            more = np.fromiter((x for w in ids for x in w), dtype=np.int32)
-            self.flat = np.concatenate([self.flat, more])
-            self.lengths = np.concatenate([self.lengths, np.array([len(w) for w in ids], dtype=np.int64)])
+        texts = texts.cast(pa.large_string()).fill_null("")
+        whole = pc.match_substring_regex(texts, BY_WORD_NOT if self.by_word else "")
+        lowered = pc.replace_substring(pc.utf8_lower(pc.if_else(whole, "", texts)), "\n", " ")
+        words = pc.split_pattern(lowered, " ")
+        bounds = words.offsets.to_numpy()
+        distinct = words.flatten().dictionary_encode()
+        code_of = self._codes(distinct.dictionary.to_pylist())
+        every = code_of[distinct.indices.to_numpy()]
         starts = np.cumsum(self.lengths) - self.lengths
-        every = np.concatenate(used) if used else np.zeros(0, dtype=np.int64)
         taken = self.lengths[every]
         out = gather(self.flat, starts[every], taken)
         ends = np.concatenate([[0], np.cumsum(taken)])
-        bounds = np.fromiter(accumulate(map(len, used), initial=0), dtype=np.int64)
-        counts = ends[bounds[1:]] - ends[bounds[:-1]]
-        if not given:
+        counts = ends[bounds[1:] - bounds[0]] - ends[bounds[:-1] - bounds[0]]
+        rest = np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist()
+        if not rest:
             return out, counts
         parts = np.split(out, np.cumsum(counts)[:-1])
-        for i, ids in given.items():
-            parts[i] = np.array(ids, dtype=np.int32)
+        for i in rest:
+            parts[i] = np.array(self._whole(texts[i].as_py()), dtype=np.int32)
         return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
 
+    def _codes(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words; those not seen before are encoded."""
+        known = len(self.codes)
+        number = self.codes.setdefault
+        codes = np.fromiter((number(w, len(self.codes)) for w in words), dtype=np.int64, count=len(words))
+        if len(self.codes) > known:
+            ids = [self._word(w) for w in islice(self.codes, known, None)]
+            more = np.fromiter(chain.from_iterable(ids), dtype=np.int32)
+            self.flat = np.concatenate([self.flat, more])
+            self.lengths = np.concatenate([self.lengths, np.array([len(w) for w in ids], dtype=np.int64)])
+        return codes
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(source: str) -> WordEncoder:
