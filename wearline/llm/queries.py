@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup, packing, simhash, token_files
+from wearline.llm import exact_dedup, packing, simhash, token_files, trie_bpe
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_simhash": simhash.op3_simhash,
     "op5_packing": packing.op5_packing,
     "op7_token_files": token_files.op7_token_files,
+    "op10_trie_bpe": trie_bpe.op10_trie_bpe,
 }
 ORACLES = {"op1_exact_dedup": exact_dedup.OP1_SQL}

@@ -21,7 +21,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 from wearline.llm.common import gather
 
 # Words remembered by one Python worker; about 200 bytes each. Beyond, it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 
 # Texts that can't be taken word by word.
 BY_WORD_NOT = r"[^\x{0}-\x{24f}]|İ|<\|"
