@@ -17,6 +17,7 @@ from __future__ import annotations
 import functools
 import json
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ from wearline.llm.word_ids import read_tokenizer
 # Fixed value: how byte-level BPE files cut text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Texts that can't be cut at each space: a space is followed by white space or by the end.
-SPACES = r" ([\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
+SPACES = r" ([\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
 # Words and token pairs remembered by one Python worker. Beyond, it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 600_000
 NEVER = 1 << 30
 
 
@@ -113,8 +114,32 @@ class Vocabulary:
         return not self._meets(left, right, NEVER)
 
 
+class Lists:
+    """Numbered keys with a list of numbers each, in flat arrays."""
+
+    def __init__(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.lengths = np.zeros(0, dtype=np.int64)
+
+    def number(self, keys: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The keys' numbers, and the keys that are new; :meth:`add` must follow with their lists."""
+        known, codes = len(self.codes), self.codes
+        numbers = np.fromiter((codes.setdefault(k, len(codes)) for k in keys), dtype=np.int64, count=len(keys))
+        return numbers, list(islice(codes, known, None)) if len(codes) > known else []
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat])
+        self.lengths = np.concatenate([self.lengths, lengths])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All lists in order, and the length of each."""
+        lengths = self.lengths[numbers]
+        return gather(self.flat, (np.cumsum(self.lengths) - self.lengths)[numbers], lengths), lengths
+
+
 class TrieEncoder:
-    """Encodes columns of texts; remembers the ids of words."""
+    """Encodes columns of texts; remembers parts of texts as lists of words, and words as lists of ids."""
 
     def __init__(self, source: str) -> None:
         self.vocabulary = Vocabulary(source)
@@ -123,16 +148,14 @@ class TrieEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.flat = np.zeros(0, dtype=np.int32)
-        self.lengths = np.zeros(0, dtype=np.int64)
+        self.parts, self.known = Lists(), Lists()
 
     def words(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """Ids of distinct words, by a depth-first walk over their trie."""
-        tokens, longest, follows = self.vocabulary.tokens, self.vocabulary.longest, self.vocabulary.follows
-        allowed, out = self.allowed, {}
-        # Along the path: last token, and the length before it, of each prefix.
-        last, where = [0], [0]
+        token_of, longest = self.vocabulary.tokens.get, self.vocabulary.longest
+        may_follow, out = self._may_follow, {}
+        # Along the path: the last token of each prefix, and where it begins.
+        last, where = [-1], [0]
         previous = b""
         for word in sorted(words):
             shared = 0
@@ -142,22 +165,22 @@ class TrieEncoder:
                 shared += 1
             del last[shared + 1 :], where[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    token = tokens.get(word[start:end])
-                    if token is None:
-                        continue
-                    if start:
-                        pair = last[start] << 20 | token
-                        may = allowed.get(pair)
-                        if may is None:
-                            may = allowed[pair] = follows(last[start], token)
-                        if not may:
-                            continue
-                    last.append(token)
-                    where.append(start)
-                    break
+                # Only one token fits; most often it begins where the one before did, or later.
+                first = max(0, end - longest)
+                likely = max(first, where[end - 1])
+                for start in range(likely, end):
+                    token = token_of(word[start:end])
+                    if token is not None and (not start or may_follow(last[start], token)):
+                        break
                 else:
-                    raise ValueError("a byte is not in the vocabulary")
+                    for start in range(likely - 1, first - 1, -1):
+                        token = token_of(word[start:end])
+                        if token is not None and (not start or may_follow(last[start], token)):
+                            break
+                    else:
+                        raise ValueError("a byte is not in the vocabulary")
+                last.append(token)
+                where.append(start)
             ids, end = [], len(word)
             while end:
                 ids.append(last[end])
@@ -165,21 +188,30 @@ class TrieEncoder:
             ids.reverse()
             out[word] = ids
             previous = word
-        if len(allowed) > REMEMBERED:
-            allowed.clear()
+        if len(self.allowed) > REMEMBERED:
+            self.allowed.clear()
         return out
 
-    def _codes(self, parts: list[str]) -> np.ndarray:
-        """Numbers of parts of texts; those not seen before are encoded."""
-        known, codes = len(self.codes), self.codes
-        numbers = np.fromiter((codes.setdefault(p, len(codes)) for p in parts), dtype=np.int64, count=len(parts))
-        if len(codes) > known:
-            fresh = list(codes)[known:]
-            cuts = [[w.encode() for w in self.cut(p)] for p in fresh]
-            ids = self.words(list({w for c in cuts for w in c}))
-            joined = [[t for w in c for t in ids[w]] for c in cuts]
-            self.flat = np.concatenate([self.flat, np.fromiter((t for j in joined for t in j), dtype=np.int32)])
-            self.lengths = np.concatenate([self.lengths, np.array([len(j) for j in joined], dtype=np.int64)])
+    def _may_follow(self, left: int, right: int) -> bool:
+        pair = left << 20 | right
+        may = self.allowed.get(pair)
+        if may is None:
+            may = self.allowed[pair] = self.vocabulary.follows(left, right)
+        return may
+
+    def _part_numbers(self, parts: list[str]) -> np.ndarray:
+        """Numbers of parts of texts; the words of new ones are encoded."""
+        numbers, new = self.parts.number(parts)
+        if new:
+            cuts = [self.cut(p) for p in new]
+            words, fresh = self.known.number(list(chain.from_iterable(cuts)))
+            if fresh:
+                data = [w.encode() for w in fresh]
+                found = self.words(data)
+                ids = [found[w] for w in data]
+                lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                self.known.add(np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=lengths.sum()), lengths)
+            self.parts.add(words.astype(np.int32), np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts)))
         return numbers
 
     def _whole(self, text: str) -> np.ndarray:
@@ -198,32 +230,33 @@ class TrieEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has."""
-        if len(self.codes) > REMEMBERED:
+        if max(len(self.parts.codes), len(self.known.codes)) > REMEMBERED:
             self._forget()
         texts = texts.cast(pa.large_string()).fill_null("")
         whole = pc.match_substring_regex(texts, SPACES)
         for special in self.vocabulary.special:
             whole = pc.or_(whole, pc.match_substring(texts, special))
-        # Each space begins a new word.
+        # Each space begins a new part.
         parts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
         bounds = parts.offsets.to_numpy()
         distinct = parts.flatten().dictionary_encode()
         pieces = distinct.dictionary.to_pylist()
-        every = self._codes([" " + p for p in pieces])[distinct.indices.to_numpy()]
+        every = self._part_numbers([" " + p for p in pieces])[distinct.indices.to_numpy()]
         first = bounds[:-1] - bounds[0]
-        every[first] = self._codes([pieces[i] for i in distinct.indices.to_numpy()[first].tolist()])
-        starts = np.cumsum(self.lengths) - self.lengths
-        taken = self.lengths[every]
-        out = gather(self.flat, starts[every], taken)
-        ends = np.concatenate([[0], np.cumsum(taken)])
-        counts = ends[bounds[1:] - bounds[0]] - ends[first]
+        every[first] = self._part_numbers([pieces[i] for i in distinct.indices.to_numpy()[first].tolist()])
+        words, each = self.parts.take(every)
+        out, taken = self.known.take(words)
+        # From ids per word to ids per part to ids per text.
+        word_ends = np.concatenate([[0], np.cumsum(taken)])
+        part_ends = word_ends[np.concatenate([[0], np.cumsum(each)])]
+        counts = part_ends[bounds[1:] - bounds[0]] - part_ends[first]
         rest = np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist()
         if not rest:
             return out, counts
-        each = np.split(out, np.cumsum(counts)[:-1])
+        separate = np.split(out, np.cumsum(counts)[:-1])
         for i in rest:
-            each[i] = self._whole(texts[i].as_py())
-        return np.concatenate(each), np.array([len(e) for e in each], dtype=np.int64)
+            separate[i] = self._whole(texts[i].as_py())
+        return np.concatenate(separate), np.array([len(e) for e in separate], dtype=np.int64)
 
     def decode(self, ids: np.ndarray) -> bytes:
         v = self.vocabulary
