@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup, merkle, packing, simhash, token_files, trie_bpe
+from wearline.llm import exact_dedup, merkle, packing, simhash, token_files, toxicity, trie_bpe
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_simhash": simhash.op3_simhash,
     "op5_packing": packing.op5_packing,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_files": token_files.op7_token_files,
     "op8_merkle": merkle.op8_merkle,
     "op10_trie_bpe": trie_bpe.op10_trie_bpe,
