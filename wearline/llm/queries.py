@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup, merkle, packing, simhash, token_files, toxicity, trie_bpe
+from wearline.llm import exact_dedup, merkle, packing, quality, simhash, token_files, toxicity, trie_bpe
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_quality": quality.op2_quality,
     "op3_simhash": simhash.op3_simhash,
     "op5_packing": packing.op5_packing,
     "op6_toxicity": toxicity.op6_toxicity,
