@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from wearline.llm.columns import CLASSES, PUNCTUATION, character_classes, words
 from wearline.llm.common import held_out, load, ready
-from wearline.session import broadcast_if_small
 
 BUCKETS = 4096
 RANK = 8
@@ -193,9 +192,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
                 names=["doc_id", "quality", "buckets", "weights", "statistics"],
             )
 
-    # At most BUCKETS inputs a row reach the driver, and at most SAMPLE rows: those of the smallest hashes.
+    # At most SAMPLE rows with at most BUCKETS inputs each reach the driver: those of the smallest hashes of ids.
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").join(broadcast_if_small(chosen), "doc_id")
+    some = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE)
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
     sample = (
         rows.select("doc_id", "quality", "text")
         .mapInArrow(run, f"doc_id {kind}, quality int, buckets binary, weights binary, statistics array<double>")

@@ -179,8 +179,11 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str] | None = Non
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = "".join(f", {n} int" for n in [*given, "toxic"])
+    # At most SAMPLE rows reach the driver: those of the smallest hashes of ids.
+    some = singles.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     sample = (
-        rows.select("doc_id", *given, "toxic", "text")
+        rows.join(F.broadcast(some), "doc_id", "left_semi")
+        .select("doc_id", *given, "toxic", "text")
         .mapInArrow(run, f"doc_id {kind}{names}, held array<int>")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "held")
         .limit(SAMPLE)
