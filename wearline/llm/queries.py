@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup, merkle, packing, quality, simhash, token_files, toxicity, trie_bpe
+from wearline.llm import exact_dedup, merkle, packing, quality, secret_scan, simhash, token_files, toxicity, trie_bpe
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_quality": quality.op2_quality,
     "op3_simhash": simhash.op3_simhash,
+    "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_packing": packing.op5_packing,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_files": token_files.op7_token_files,
