@@ -23,12 +23,13 @@ def filled(texts: pa.Array) -> pa.Array:
     return texts.cast(pa.large_string()).fill_null("")
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def words(texts: pa.Array, *, ascii_only: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Where each text's words begin (one more than texts), the words by number, and the distinct lower-case words.
 
-    Words are what ASCII white space separates. The empty word stands between two separators.
+    Words are what ASCII white space separates. The empty word stands between two separators. With ``ascii_only``
+    no other letters than A-Z are lower-cased.
     """
-    lowered = pc.utf8_lower(filled(texts))
+    lowered = (pc.ascii_lower if ascii_only else pc.utf8_lower)(filled(texts))
     parts = pc.split_pattern(pc.replace_substring_regex(lowered, r"[\t\n\x0b\f\r]", " "), " ")
     bounds = parts.offsets.to_numpy()
     distinct = parts.flatten().dictionary_encode()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup, merkle, packing, quality, secret_scan, simhash, token_files, toxicity, trie_bpe
+from wearline.llm import exact_dedup, lm, merkle, packing, quality, secret_scan, simhash, token_files, toxicity, trie_bpe
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_files": token_files.op7_token_files,
     "op8_merkle": merkle.op8_merkle,
+    "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_trie_bpe": trie_bpe.op10_trie_bpe,
 }
 ORACLES = {"op1_exact_dedup": exact_dedup.OP1_SQL, "op8_merkle": merkle.OP8_SQL}
