@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from wearline.session import scratch
 
 # Rows and bytes that one Arrow batch may hold; they bound the memory of a Python worker.
-BATCH_ROWS = 2048
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1024
+BATCH_BYTES = 8 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
