@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.llm.common import load, ready
-from wearline.llm.word_ids import encoder, read_tokenizer
+from wearline.llm.word_ids import WordEncoder, read_tokenizer
 
 LENGTH = 2048
 END = 0
@@ -88,7 +88,8 @@ def packed(docs: DataFrame, tokenizer: str, *, length: int = LENGTH, end: int =
     schema = f"doc_id {kind}, piece int, start long, length long, sequence_id long, offset long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        # One encoder per task: a Python worker that goes on to other work keeps none of its memory.
+        encode = WordEncoder(tokenizer).encode
         bins_before = TaskContext.get().partitionId() << 36
         held: list[tuple] = []
         tokens = 0

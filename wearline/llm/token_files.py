@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wearline.llm import simple8b
 from wearline.llm.common import load, ready, spans
-from wearline.llm.word_ids import encoder, read_tokenizer
+from wearline.llm.word_ids import WordEncoder, read_tokenizer
 from wearline.session import broadcast_if_small, scratch
 
 END = 1
@@ -35,8 +35,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end: int = END) -> None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before = TaskContext.get().partitionId(), 0
+        encode = WordEncoder(tokenizer).encode
         for number, batch in enumerate(batches):
-            ids, counts = encoder(tokenizer).encode(batch.column("text"))
+            ids, counts = encode(batch.column("text"))
             # The end id goes behind each document.
             whole = np.insert(ids, np.cumsum(counts), end)
             yield pa.RecordBatch.from_pydict(

@@ -20,8 +20,8 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from wearline.llm.common import gather
 
-# Words remembered by one Python worker; about 200 bytes each. Beyond, it starts afresh.
-REMEMBERED = 250_000
+# Words remembered at a time; about 200 bytes each. Beyond, an encoder starts afresh.
+REMEMBERED = 400_000
 
 # Texts that can't be taken word by word.
 BY_WORD_NOT = r"[^\x{0}-\x{24f}]|İ|<\|"
@@ -113,9 +113,3 @@ class WordEncoder:
             self.flat = np.concatenate([self.flat, more])
             self.lengths = np.concatenate([self.lengths, np.array([len(w) for w in ids], dtype=np.int64)])
         return codes
-
-
-@functools.lru_cache(maxsize=2)
-def encoder(source: str) -> WordEncoder:
-    """One encoder per Python worker, which keeps its words over tasks."""
-    return WordEncoder(source)
