@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import shutil
 import tempfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from wearline.session import scratch
 
+Batches = Iterator[pa.RecordBatch]
+
 # Rows and bytes that one Arrow batch may hold; they bound the memory of a Python worker.
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 << 20
@@ -42,6 +45,38 @@ def _send_package(application: str) -> None:
     SparkContext.getOrCreate().addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks, more of them than run at a time."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def by_column(compute: Callable[[pa.Array], pa.Array], kind: str) -> Callable[..., Column]:
+    """An Arrow function of one column that gives memory back after each batch."""
+
+    def run(column: pa.Array) -> pa.Array:
+        out = compute(column)
+        give_back()
+        return out
+
+    return F.arrow_udf(run, kind)
+
+
+def by_task(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function for ``mapInArrow`` that gives memory back as it goes and at its end."""
+
+    def kept(batches: Batches) -> Batches:
+        for out in run(batches):
+            yield out
+            del out
+            give_back()
+        give_back()
+
+    return kept
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder once and read back.
 

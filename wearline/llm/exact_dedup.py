@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearline.llm.common import load, materialised, only, ready, row_key, utf8
+from wearline.llm.common import by_column, load, materialised, only, ready, row_key, utf8
 from wearline.session import broadcast_if_small
 
 PRIMES = (2_147_483_647, 2_147_483_629)
@@ -86,7 +86,7 @@ def fingerprint_column(text: Column, primes=PRIMES, bases=BASES) -> Column:
         marks = fingerprints(texts, primes, bases).tolist()
         return pa.array([f"{len(t)}:" + "".join(f"{h:08x}" for h in m) for t, m in zip(texts, marks, strict=True)])
 
-    return F.arrow_udf(compute, "string")(text)
+    return by_column(compute, "string")(text)
 
 
 def _chunks(docs: DataFrame, keys: DataFrame, primes, bases) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm.common import load, ready
+from wearline.llm.common import by_task, load, ready
 from wearline.llm.word_ids import WordEncoder, read_tokenizer
 
 LENGTH = 2048
@@ -127,7 +127,7 @@ def packed(docs: DataFrame, tokenizer: str, *, length: int = LENGTH, end: int =
         if held:
             yield from placed()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(by_task(run), schema)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.llm.columns import CLASSES, PUNCTUATION, character_classes, words
-from wearline.llm.common import held_out, load, ready
+from wearline.llm.common import by_column, by_task, held_out, load, ready
 
 BUCKETS = 4096
 RANK = 8
@@ -198,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
     sample = (
         rows.select("doc_id", "quality", "text")
-        .mapInArrow(run, f"doc_id {kind}, quality int, buckets binary, weights binary, statistics array<double>")
+        .mapInArrow(by_task(run), f"doc_id {kind}, quality int, buckets binary, weights binary, statistics array<double>")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "buckets")
         .limit(SAMPLE)
         .collect()
@@ -227,7 +227,7 @@ def scored(docs: DataFrame, machine: Machine | None, text: str = "text") -> Colu
     def compute(column: pa.Array) -> pa.Array:
         return pa.array(machine.score(inputs(column)))
 
-    return F.arrow_udf(compute, "double")(F.col(text))
+    return by_column(compute, "double")(F.col(text))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm.common import load, materialised, only, ready, row_key, utf8
+from wearline.llm.common import by_column, by_task, load, materialised, only, ready, row_key, utf8
 from wearline.llm.graph import components
 from wearline.session import broadcast_if_small
 
@@ -57,7 +57,7 @@ def fingerprint_column(text: Column, words_each: int) -> Column:
     def compute(column: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t, words_each) for t in utf8(column)], pa.int64())
 
-    return F.arrow_udf(compute, "long")(text)
+    return by_column(compute, "long")(text)
 
 
 def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -82,7 +82,7 @@ def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
         )
 
     # At most 64 x 64 + 1 rows reach the driver.
-    rows = nodes.select("fp").mapInArrow(partial, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n"))
+    rows = nodes.select("fp").mapInArrow(by_task(partial), "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n"))
     counts, n = np.zeros((BITS, BITS)), 0
     for i, j, k in rows.collect():
         if i < 0:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearline.llm import simple8b
-from wearline.llm.common import load, ready, spans
+from wearline.llm.common import by_task, load, ready, spans
 from wearline.llm.word_ids import WordEncoder, read_tokenizer
 from wearline.session import broadcast_if_small, scratch
 
@@ -60,7 +60,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end: int = END) -> None
         docs.select("doc_id", "text")
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id")
-        .mapInArrow(run, schema)
+        .mapInArrow(by_task(run), schema)
         .write.option("compression", "zstd")
         .parquet(path)
     )
@@ -95,7 +95,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     return placed.select("doc_ids", "lengths", "data", (F.col("_first") + F.col("before")).alias("start")).mapInArrow(
-        run, f"doc_id {kind}, start long, n_tokens long, ids binary"
+        by_task(run), f"doc_id {kind}, start long, n_tokens long, ids binary"
     )
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.llm.columns import PUNCTUATION, words
-from wearline.llm.common import load, materialised, ready
+from wearline.llm.common import by_column, by_task, load, materialised, ready
 from wearline.session import broadcast_if_small
 
 # Features kept, and least number of toxic rows that hold one.
@@ -79,7 +79,7 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
                 }
             )
 
-    rows = labelled.select("text", "toxic").mapInArrow(run, "feature string, toxic long, clean long")
+    rows = labelled.select("text", "toxic").mapInArrow(by_task(run), "feature string, toxic long, clean long")
     return rows.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -184,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str] | None = Non
     sample = (
         rows.join(F.broadcast(some), "doc_id", "left_semi")
         .select("doc_id", *given, "toxic", "text")
-        .mapInArrow(run, f"doc_id {kind}{names}, held array<int>")
+        .mapInArrow(by_task(run), f"doc_id {kind}{names}, held array<int>")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "held")
         .limit(SAMPLE)
         .collect()
@@ -210,7 +210,7 @@ def scored(docs: DataFrame, chain: Chain, text: str = "text") -> Column:
         p = chain.score_texts(column)
         return pa.StructArray.from_arrays([pa.array(p[:, k]) for k in range(len(names))], names=names)
 
-    return F.arrow_udf(compute, ", ".join(f"{n} double" for n in names))(F.col(text))
+    return by_column(compute, ", ".join(f"{n} double" for n in names))(F.col(text))
 
 
 def kept_documents(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:

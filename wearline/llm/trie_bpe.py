@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm.common import gather, load, ready, spans
+from wearline.llm.common import by_column, gather, load, ready, spans
 from wearline.llm.word_ids import read_tokenizer
 
 # Fixed value: how byte-level BPE files cut text before the merges.
@@ -288,7 +288,7 @@ def encoded(text: Column, tokenizer: str) -> Column:
             [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), (starts + counts).tolist(), strict=True)], pa.binary()
         )
 
-    return F.arrow_udf(compute, "binary")(text)
+    return by_column(compute, "binary")(text)
 
 
 def decoded(ids: Column, tokenizer: str) -> Column:
@@ -298,7 +298,7 @@ def decoded(ids: Column, tokenizer: str) -> Column:
         decode = encoder(tokenizer).decode
         return pa.array([decode(np.frombuffer(x, "<u4")).decode("utf-8", "replace") for x in column.to_pylist()])
 
-    return F.arrow_udf(compute, "string")(ids)
+    return by_column(compute, "string")(ids)
 
 
 def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
