@@ -1,0 +1,491 @@
+"""The document operators against brute force on the smallest tables and on odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import xxhash
+from conftest import TESTDATA
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+from wearline.llm import (
+    exact_dedup,
+    graph,
+    lm,
+    merkle,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    simple8b,
+    token_files,
+    toxicity,
+    trie_bpe,
+    word_ids,
+)
+from wearline.llm.common import held_out
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+LONG = "lorem ipsum. " * 9000
+ODD = [
+    (None, None),
+    (1, None),
+    (2, ""),
+    (2, ""),
+    (3, " \n\t "),
+    (4, LONG),
+    (5, LONG),
+    (5, LONG),
+    (6, "İstanbul Σίσυφος's don't <|endoftext|> <|ENDOFTEXT|> a.\x1cb\u0085. x  y 日本語 🙂"),
+    (7, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" 4785380592391139'),
+    (None, "tie"),
+    (8, "tie"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Odd rows, with further columns named like those that operators make."""
+    schema = "doc_id long, text string, kept string, _key string, _row string, fp string, start string, label string"
+    return spark.createDataFrame([(*r, *["x"] * 6) for r in ODD], schema)
+
+
+@pytest.fixture(scope="module")
+def empty(odd):
+    return odd.limit(0)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(str(TESTDATA / "documents.parquet"))
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+
+
+def query(spark, name):
+    return contract.queries()[name](spark, str(TESTDATA)).collect()
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op8_merkle"])
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{TESTDATA}/documents.parquet'")
+    wanted = con.sql(contract.oracle_sql()[name])
+    found = contract.queries()[name](spark, str(TESTDATA)).select(*wanted.columns).collect()
+    assert sorted(map(tuple, found)) == sorted(wanted.fetchall())
+
+
+# Exact dedup
+
+
+def test_fingerprints_compose():
+    draw = random.Random(1)
+    for _ in range(30):
+        a, b = (draw.randbytes(draw.choice([0, 1, 700, 1024, 5000])) for _ in range(2))
+        x, y, z = (tuple(r.tolist()) for r in exact_dedup.fingerprints([a, b, a + b]))
+        assert exact_dedup.combine(x, len(a), y) == z
+
+
+def test_groups_of_odd_rows(odd, empty):
+    rows = exact_dedup.exact_groups(odd).collect()
+    assert len(rows) == len(ODD)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.text_sha256, []).append(r)
+    for text in {t or "" for _, t in ODD}:
+        group = groups[hashlib.sha256(text.encode()).hexdigest()]
+        ids = [i for i, t in ODD if (t or "") == text]
+        assert sorted(str(r.doc_id) for r in group) == sorted(map(str, ids))
+        largest = max((i for i in ids if i is not None), default=None)
+        assert {(r.keep_id, r.group_size) for r in group} == {(largest, len(ids))}
+        assert [r.doc_id for r in group if r.kept] == [largest]
+    assert exact_dedup.exact_groups(empty).count() == 0
+    kept = exact_dedup.kept_documents(odd)
+    assert kept.columns == odd.columns and kept.count() == len(groups)
+
+
+def test_collisions_are_told_apart(spark):
+    texts = ["ab" * 20_000, "ab" * 19_999 + "ba", "c" * 16_384 + "d", "c" * 16_384 + "e", "x", "y", "x"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # With one tiny prime, all texts of a length collide.
+    rows = exact_dedup.exact_groups(frame, primes=(2,), bases=(0,)).collect()
+    assert {r.doc_id: r.keep_id for r in rows} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 6, 5: 5, 6: 6}
+
+
+# SimHash
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def reachable(prints, ids):
+    found = {}
+    for start in sorted(ids):
+        if start in found:
+            continue
+        todo = [start]
+        found[start] = start
+        while todo:
+            here = todo.pop()
+            for other in ids:
+                if other not in found and (prints[here] ^ prints[other]).bit_count() <= 3:
+                    found[other] = start
+                    todo.append(other)
+    return found
+
+
+def test_simhash_matches_brute_force(spark, texts):
+    prints = {i: plain_fingerprint(t) for i, t in texts.items()}
+    components = reachable(prints, list(texts))
+    rows = query(spark, "op3_simhash")
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in rows} == {
+        (i, f"{prints[i]:016x}", components[i]) for i in texts
+    }
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 3, 5])
+def test_links_lose_no_pair(spark, max_bits):
+    draw = random.Random(max_bits)
+    centres = [draw.getrandbits(64) for _ in range(40)]
+    prints = set(centres)
+    for c in centres:
+        for _ in range(6):
+            x = c
+            for b in draw.sample(range(64), draw.randint(1, 6)):
+                x ^= 1 << b
+            prints.add(x)
+    signed = sorted(x - (1 << 64) if x >> 63 else x for x in prints)
+    nodes = spark.createDataFrame([(x,) for x in signed], "fp long")
+    found = sorted(map(tuple, simhash.links(nodes, max_bits).collect()))
+    near = [
+        (a, b)
+        for i, a in enumerate(signed)
+        for b in signed[i + 1 :]
+        if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= max_bits
+    ]
+    assert found == near
+
+
+def test_thresholds_by_dynamic_programming():
+    draw = random.Random(2)
+    costs = [[draw.random() * 10**e for e in range(4)] for _ in range(3)]
+    best, chosen = simhash.allocate(costs, 1)
+    tried = [
+        sum(c[e] for c, e in zip(costs, t, strict=True) if e >= 0)
+        for t in ((i, j, k) for i in range(-1, 4) for j in range(-1, 4) for k in range(-1, 4))
+        if sum(t) == 1
+    ]
+    assert best == pytest.approx(min(tried)) and sum(chosen) == 1
+
+
+def test_simhash_of_odd_rows(odd, empty):
+    rows = simhash.near_groups(odd).collect()
+    assert len(rows) == len(ODD)
+    blank = [r for r in rows if r.fingerprint == "0" * 16]
+    assert {r.component_id for r in blank} == {1} and len(blank) == 5
+    assert simhash.near_groups(empty).count() == 0
+    kept = simhash.kept_documents(odd)
+    assert kept.columns == odd.columns
+    assert kept.count() == len({r.component_id for r in rows})
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
+    found = {r.node: r.root for r in graph.components(links).collect()}
+    assert found == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+
+
+# Tokens
+
+
+def test_word_ids_are_the_library_s(texts):
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    some = [*list(texts.values())[:80], *[t or "" for _, t in ODD], "a. b, c!? don't. É. x's."]
+    ids, counts = word_ids.WordEncoder(word_ids.read_tokenizer(WORD_BPE)).encode(pa.array(some))
+    wanted = [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in wanted] and ids.tolist() == [x for w in wanted for x in w]
+
+
+def test_trie_ids_are_the_library_s(texts):
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    draw = random.Random(3)
+    some = [*list(texts.values())[:80], *[t or "" for _, t in ODD], "x" * 3000, "!!!???..." * 30, " a \n\n b", "a  ", "  "]
+    some += ["".join(draw.choice("ab th e\n'.,  éß日1$\t ") for _ in range(40)) for _ in range(200)]
+    encoder = trie_bpe.TrieEncoder(word_ids.read_tokenizer(BYTE_BPE))
+    ids, counts = encoder.encode(pa.array(some))
+    wanted = tokenizer.encode_batch(some, add_special_tokens=False)
+    for found, encoding in zip(np.split(ids, np.cumsum(counts)[:-1]), wanted, strict=True):
+        assert found.tolist() == encoding.ids
+        assert encoder.decode(found).decode("utf-8", "replace") == tokenizer.decode(encoding.ids, skip_special_tokens=False)
+
+
+def test_trie_query(spark, texts):
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    rows = {r.doc_id: r for r in query(spark, "op10_trie_bpe")}
+    assert rows.keys() == texts.keys()
+    for i, text in list(texts.items())[:50]:
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        wanted = (i, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+        assert tuple(rows[i]) == wanted
+
+
+def test_simple8b_round_trip():
+    draw = np.random.default_rng(4)
+    lists = [
+        np.zeros(0),
+        np.zeros(3000),
+        draw.integers(0, 49_408, 5000),
+        np.array([1 << 60, (1 << 64) - 1, 0, 5, (1 << 32) - 1, 1 << 40], dtype=np.uint64),
+        np.concatenate([draw.integers(0, 1 << b, 150) for b in draw.integers(0, 50, 60)]),
+    ]
+    for numbers in lists:
+        numbers = numbers.astype(np.uint64)
+        data = simple8b.encode(numbers)
+        assert (simple8b.decode(data) == numbers).all()
+        assert (simple8b.decode(data, 1, 3) == numbers[simple8b.BLOCK : 3 * simple8b.BLOCK]).all()
+    with pytest.raises(ValueError, match="Simple-8b"):
+        simple8b.decode(b"x" * 64)
+
+
+def test_token_files(spark, texts, odd, empty, tmp_path):
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    start = 0
+    for r in sorted(query(spark, "op7_token_files")):
+        ids = np.array([*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, 1], dtype="<u4")
+        assert tuple(r) == (r.doc_id, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    source = word_ids.read_tokenizer(WORD_BPE)
+    token_files.write(odd, f"{tmp_path}/odd", source)
+    rows = token_files.read(spark, f"{tmp_path}/odd").orderBy("start").collect()
+    assert [str(r.doc_id) for r in rows] == [str(i) for i, _ in sorted(ODD, key=lambda x: x[0] or 0)]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:], strict=False))
+    token_files.write(empty, f"{tmp_path}/empty", source)
+    assert token_files.read(spark, f"{tmp_path}/empty").count() == 0
+
+
+# Packing
+
+
+def test_squares_rule_places_where_the_sum_is_least():
+    draw = np.random.default_rng(5)
+    packer, size = packing.SquaresPacker(40), 40
+    for length in draw.integers(1, 41, 300).tolist():
+        before = packer.counts.copy()
+
+        def squares(gap, length=length, before=before):
+            after = before.copy()
+            if gap < size:
+                after[gap] -= 1
+            if gap > length:
+                after[gap - length] += 1
+            return int((after**2).sum())
+
+        _, offset = packer.place(length)
+        gap = size - offset
+        options = [g for g in range(length, size) if before[g]] + [size]
+        assert gap in options and squares(gap) == min(map(squares, options))
+
+
+def test_packing(spark, texts, odd, empty):
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    rows = query(spark, "op5_packing")
+    pieces = {(r.doc_id, r.piece): r for r in rows}
+    assert len(pieces) == len(rows)
+    for i, text in texts.items():
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
+        for k in range(0, len(ids), 2048):
+            r, part = pieces.pop((i, k // 2048)), ids[k : k + 2048]
+            assert (r.start, r.length, r.ids_crc32) == (k, len(part), zlib.crc32(part.tobytes()))
+    assert not pieces
+    ends = Counter()
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert ends[r.sequence_id] == r.offset
+        ends[r.sequence_id] += r.length
+    assert max(ends.values()) <= 2048 and len(ends) <= 1.05 * -(-sum(ends.values()) // 2048) + 1
+    source = word_ids.read_tokenizer(WORD_BPE)
+    assert packing.packed(odd, source, share=4096).where("piece = 0").count() == len(ODD)
+    assert packing.packed(empty, source).count() == 0
+
+
+# Merkle trees
+
+
+def test_edits_are_located(spark):
+    lines = [f"Line number {i} of the text.\n" for i in range(200)]
+    changed = [*lines[:120], "Something new.\n", *lines[120:]]
+    old = merkle.trees(spark.createDataFrame([(1, "".join(lines)), (2, "same"), (None, "")], "doc_id long, text string"))
+    new = merkle.trees(spark.createDataFrame([(1, "".join(changed)), (2, "same"), (None, None)], "doc_id long, text string"))
+    assert [(r.doc_id, r.paragraph) for r in merkle.edits(old, new).collect()] == [(1, 120)]
+    sections = [r.sections for r in new.where("doc_id = 1").collect()][0]
+    assert sum(s.paragraphs for s in sections) == 201
+
+
+def test_next_documents(spark, odd, empty, monkeypatch):
+    monkeypatch.setattr(merkle, "ORDERED", 7)
+    draw = random.Random(6)
+    ids = sorted(draw.sample(range(10**6), 150))
+    frame = spark.createDataFrame([(i, str(i)) for i in draw.sample(ids, 150)], "doc_id long, text string")
+    found = {r.doc_id: r.next_text for r in merkle.with_next(frame).collect()}
+    assert found == {i: str(ids[(k + 1) % 150]) for k, i in enumerate(ids)}
+    rows = merkle.with_next(odd).collect()
+    ordered = sorted(ODD, key=lambda r: (-1 if r[0] is None else r[0], r[1] or ""))
+    following = [t or "" for _, t in [*ordered[1:], ordered[0]]]
+    assert sorted((r.text, r.next_text) for r in rows) == sorted(
+        zip([t or "" for _, t in ordered], following, strict=True)
+    )
+    assert merkle.with_next(empty).count() == 0
+
+
+# Secrets
+
+
+def test_secrets_are_found_and_redacted(spark, docs, texts, odd, empty):
+    rows = query(spark, "op4_secret_scan")
+    for r in rows:
+        found = texts[r.doc_id][r.start : r.start + r.length]
+        assert hashlib.sha256(found.encode()).hexdigest() == r.sha256
+        assert not found.isdigit() or not r.is_secret
+    wanted = {i for i, t in texts.items() if re.search('token = "[0-9a-f]{40}"', t)}
+    assert wanted <= {r.doc_id for r in rows if r.is_secret}
+    redacted = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    for i, text in texts.items():
+        for r in sorted((r for r in rows if r.doc_id == i and r.is_secret), key=lambda r: -r.start):
+            text = text[: r.start] + "[SECRET]" + text[r.start + r.length :]
+        assert redacted[i] == text
+    some = secret_scan.scan(odd).collect()
+    assert {(r.doc_id, r.is_secret) for r in some} == {(7, True), (7, False)}
+    out = secret_scan.redacted(odd)
+    assert out.columns == odd.columns and out.count() == len(ODD) and out.where("text is null").count() == 2
+    assert secret_scan.scan(empty).count() == 0
+
+
+def test_forest_learns_from_labels(spark):
+    draw = random.Random(8)
+    rows, labels = [], []
+    for i in range(120):
+        value = "".join(draw.choice("0123456789abcdef") for _ in range(24))
+        name = "api_key" if i % 2 else "commit"
+        rows.append((i, f'{name} = "{value}" end'))
+        labels.append((i, len(name) + 4, i % 2))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secret_scan.scan(frame, spark.createDataFrame(labels, "doc_id long, start long, label int")).collect()
+    assert all(r.is_secret == bool(r.doc_id % 2) for r in found) and len(found) == 120
+
+
+# Classifiers
+
+
+@pytest.fixture(scope="module")
+def larger(spark):
+    folder = TESTDATA.parent / "sf0.1"
+    return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def test_quality_of_held_out_rows(spark, larger, odd, empty):
+    docs, labels = larger
+    apart = held_out(F.col("doc_id"), 3)
+    machine = quality.train(docs, labels.where(~apart))
+    scores = docs.join(labels.where(apart), "doc_id").select("quality", quality.scored(docs, machine).alias("p")).collect()
+    good = sum((r.p >= 0.5) == (r.quality == 1) for r in scores)
+    assert good / len(scores) > 0.98
+    every = odd.select(quality.scored(odd, machine).alias("p")).collect()
+    assert len(every) == len(ODD) and all(0 <= r.p <= 1 for r in every)
+    assert quality.train(empty, labels) is None
+    assert [r.p for r in odd.select(quality.scored(odd, None).alias("p")).limit(1).collect()] == [0.5]
+
+
+def test_sum_of_squares_identity():
+    draw = np.random.default_rng(9)
+    x = quality.inputs(pa.array(["one two three two", "", None, "THE END!! 12"]))
+    width = quality.BUCKETS + len(quality.STATISTICS)
+    k = len(quality.STATISTICS)
+    machine = quality.Machine(0.1, draw.normal(size=width), draw.normal(size=(width, quality.RANK)), np.zeros(k), np.ones(k))
+    for row, score in enumerate(machine.score(x)):
+        dense = np.zeros(width)
+        dense[x.buckets[x.rows == row]] = x.values[x.rows == row]
+        dense[quality.BUCKETS :] = x.statistics[row]
+        held = np.flatnonzero(dense)
+        pairs = sum(
+            machine.vectors[i] @ machine.vectors[j] * dense[i] * dense[j] for a, i in enumerate(held) for j in held[a + 1 :]
+        )
+        assert score == pytest.approx(quality.sigmoid(0.1 + machine.weights @ dense + pairs))
+
+
+def test_toxicity_of_held_out_rows(spark, larger, odd, empty):
+    docs, labels = larger
+    apart = held_out(F.col("doc_id"), 5)
+    chain = toxicity.train(docs, labels.where(~apart))
+    assert chain.categories == ["abusive", "dense", "toxic"]
+    scores = docs.join(labels.where(apart), "doc_id").select("toxic", toxicity.scored(docs, chain).alias("s")).collect()
+    caught = [r.s.p_toxic >= 0.5 for r in scores if r.toxic == 1]
+    wrong = [r.s.p_toxic >= 0.5 for r in scores if r.toxic == 0]
+    assert np.mean(caught) > 0.8 and np.mean(wrong) < 0.02
+    assert toxicity.kept_documents(odd, chain).columns == odd.columns
+    assert toxicity.kept_documents(odd, chain).count() == len(ODD)
+    nothing = toxicity.train(empty, labels)
+    assert nothing.predict(np.zeros((2, 0))).tolist() == [[0, 0, 0]] * 2
+
+
+# Language model
+
+
+def test_language_model(spark, texts, odd, empty):
+    cut = {i: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)), None] for i, t in texts.items()}
+    training = Counter(w for i, ws in cut.items() if zlib.crc32(str(i).encode()) % 5 != 1 for w in ws)
+    total, distinct = sum(training.values()), len(training)
+    rows = query(spark, "op9_lm_scoring")
+    assert len(rows) == len(texts)
+    for r in rows:
+        ws = cut[r.doc_id]
+        base = sum(np.log10((training[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in ws)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(w in training for w in ws), total)
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+        assert r.score < 0
+    # Far below the 8 bits of a byte, also for texts that the model hasn't seen.
+    assert np.median([r.bits_per_byte for r in rows if r.held_out]) < 3
+    scored = lm.scored(odd, odd).collect()
+    assert len(scored) == len(ODD) and all(np.isfinite(r.score) for r in scored)
+    assert lm.scored(odd, empty).where("base_score = 0 and n_known = 0").count() == sum(1 for _, t in ODD if not (t or "").split())
+    assert lm.scored(empty, odd).count() == 0
+
+
+def test_rare_words_are_joined(spark, odd, monkeypatch):
+    wanted = {(str(r.doc_id), r.n_tokens, round(r.base_score, 6)) for r in lm.scored(odd, odd).collect()}
+    monkeypatch.setattr(lm, "FREQUENT", 1)
+    assert {(str(r.doc_id), r.n_tokens, round(r.base_score, 6)) for r in lm.scored(odd, odd).collect()} == wanted
+
+
+def test_token_probabilities_sum_to_less_than_one():
+    from wearline.llm import bit_mixing as bits
+
+    words = [b"", b"a", b"b", b"ab", b"the", b"then"]
+    checks = bits.owners(words)
+    counter = bits.BitCounter(checks)
+    counter.add(words, np.array([5, 3, 2, 1, 9, 4], dtype=np.float32))
+    counter.flush()
+    model = bits.Model(counter.counts, checks)
+    sums = bits.Sums()
+    model.learn(words, np.array([5, 3, 2, 1, 9, 4], dtype=np.float32), sums)
+    model.refine = bits.refining(sums.followed)
+    every = [bytes([a]) for a in range(256) if a != 32] + [bytes([a, b]) for a in range(256) for b in range(256) if 32 not in (a, b)]
+    assert np.exp2(model.prepared().log2([b"", *every])).sum() <= 1 + 1e-6

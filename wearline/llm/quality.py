@@ -108,7 +108,7 @@ class Machine:
         n = len(x.statistics)
         dense = self._standard(x.statistics)
         linear = np.bincount(x.rows, weights=self.weights[x.buckets] * x.values, minlength=n)
-        linear += dense @ self.weights[BUCKETS:]
+        linear = linear + dense @ self.weights[BUCKETS:]
         first = dense @ self.vectors[BUCKETS:]
         second = dense**2 @ self.vectors[BUCKETS:] ** 2
         for f in range(RANK):
