@@ -30,10 +30,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ready(spark: SparkSession) -> None:
-    """Bound the Arrow batches sent to Python workers, as rows are whole texts, and send them this package."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+def ready(spark: SparkSession, times: int = 1) -> None:
+    """Bound the Arrow batches sent to Python workers, as rows are whole texts, and send them this package.
+
+    ``times`` as large batches suit work whose cost is by distinct word of a batch.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", times * BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", times * BATCH_BYTES)
     _send_package(spark.sparkContext.applicationId)
 
 

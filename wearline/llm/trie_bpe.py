@@ -305,7 +305,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table ``documents`` encoded and decoded again."""
     import public_tokenizers
 
-    ready(spark)
+    ready(spark, times=2)
     tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     ids = load(spark, sf_dir, "documents").select("doc_id", encoded(F.col("text"), tokenizer).alias("ids"))
     both = ids.withColumn("decoded", decoded(F.col("ids"), tokenizer))
