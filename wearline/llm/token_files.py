@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wearline.llm import simple8b
 from wearline.llm.common import by_task, load, ready, spans
-from wearline.llm.word_ids import WordEncoder, read_tokenizer
+from wearline.llm.word_ids import REMEMBERED, WordEncoder, read_tokenizer
 from wearline.session import broadcast_if_small, scratch
 
 END = 1
@@ -30,12 +30,12 @@ END = 1
 
 def write(docs: DataFrame, path: str, tokenizer: str, *, end: int = END) -> None:
     """Write the ids of ``docs`` (doc_id, text) with an end id each; ``tokenizer`` as in ``read_tokenizer``."""
-    ready(docs.sparkSession)
+    ready(docs.sparkSession, times=2)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before = TaskContext.get().partitionId(), 0
-        encode = WordEncoder(tokenizer).encode
+        encode = WordEncoder(tokenizer, remembered=2 * REMEMBERED).encode
         for number, batch in enumerate(batches):
             ids, counts = encode(batch.column("text"))
             # The end id goes behind each document.

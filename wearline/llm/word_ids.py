@@ -44,7 +44,8 @@ def _latin_letters() -> dict[str, str]:
 class WordEncoder:
     """Encodes columns of texts; remembers the ids of words."""
 
-    def __init__(self, source: str) -> None:
+    def __init__(self, source: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -79,7 +80,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has; NULL counts as empty."""
-        if len(self.codes) > REMEMBERED:
+        if len(self.codes) > self.remembered:
             self._forget()
         texts = texts.cast(pa.large_string()).fill_null("")
         whole = pc.match_substring_regex(texts, BY_WORD_NOT if self.by_word else "")
