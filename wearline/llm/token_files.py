@@ -12,6 +12,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,12 @@ from wearline.session import broadcast_if_small, scratch
 END = 1
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer: str) -> WordEncoder:
+    """One encoder per Python worker, which keeps its words over tasks."""
+    return WordEncoder(tokenizer, remembered=2 * REMEMBERED)
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, *, end: int = END) -> None:
     """Write the ids of ``docs`` (doc_id, text) with an end id each; ``tokenizer`` as in ``read_tokenizer``."""
     ready(docs.sparkSession, times=2)
@@ -35,7 +42,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end: int = END) -> None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before = TaskContext.get().partitionId(), 0
-        encode = WordEncoder(tokenizer, remembered=2 * REMEMBERED).encode
+        encode = _encoder(tokenizer).encode
         for number, batch in enumerate(batches):
             ids, counts = encode(batch.column("text"))
             # The end id goes behind each document.
