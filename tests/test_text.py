@@ -120,3 +120,17 @@ def test_truth_of_many_splits_and_files(spark, tmp_path):
         assert truth(spark, folder) == list(enumerate(numbers, start=1))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("line", ["1 1 abc 0 0 2.5", "1 x 0 0 0 2.5", "99999999999 1 0 0 0 2.5"])
+def test_bad_value_stops_the_job_in_any_session(spark, tmp_path, line, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    path = tmp_path / "log.txt"
+    path.write_text(line + "\n")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT|CAST_OVERFLOW"):
+            read_sensor_text(spark, str(path)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -15,13 +15,21 @@ _SUFFIXED = r"[0-9.][dDfF](?: |$)"
 _SUFFIXED_FIELD = r"^(?:[^ ]* ){0,%d}[^ ]*[0-9.][dDfF](?: |$)" % (len(READING_COLUMNS) - 1)
 
 
+def _strict(token: Column, value: Column, kind: str) -> Column:
+    """``value``, but a token that has none stops the job, whatever the session's ANSI setting."""
+    number = token.try_cast("double").isNotNull()
+    reason = F.when(number, F.lit("[CAST_OVERFLOW]")).otherwise(F.lit("[CAST_INVALID_INPUT]"))
+    message = F.concat(reason, F.lit(f" not a value of type {kind}: "), token)
+    return F.when(token.isNotNull() & value.isNull(), F.raise_error(message).cast(kind)).otherwise(value)
+
+
 def _double(token: Column) -> Column:
-    return token.cast("double")
+    return _strict(token, token.try_cast("double"), "double")
 
 
 def _integer(token: Column) -> Column:
     """Integer value of a numeric token; fractions round half away from zero."""
-    return F.round(token.cast("double")).cast("int")
+    return _strict(token, F.round(token.try_cast("double")).try_cast("int"), "int")
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
