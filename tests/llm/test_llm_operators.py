@@ -475,6 +475,16 @@ def test_rare_words_are_joined(spark, odd, monkeypatch):
     assert {(str(r.doc_id), r.n_tokens, round(r.base_score, 6)) for r in lm.scored(odd, odd).collect()} == wanted
 
 
+def test_score_does_not_depend_on_words_at_hand(spark, odd, monkeypatch):
+    def scores():
+        return sorted((str(r.doc_id), r.n_tokens, round(r.score, 3)) for r in lm.scored(odd, odd).collect())
+
+    wanted = scores()
+    for frequent in (0, 3):
+        monkeypatch.setattr(lm, "FREQUENT", frequent)
+        assert scores() == wanted
+
+
 def test_token_probabilities_sum_to_less_than_one():
     from wearline.llm import bit_mixing as bits
 
