@@ -485,6 +485,14 @@ def test_score_does_not_depend_on_words_at_hand(spark, odd, monkeypatch):
         assert scores() == wanted
 
 
+def test_contexts_seldom_meet_in_a_slot():
+    from wearline.llm import bit_mixing as bits
+
+    keys = np.random.default_rng(3).integers(0, 1 << 63, 1 << 20).astype(np.uint64) * np.uint64(2)
+    for k in (bits.FOUR, bits.WORD):
+        assert len(np.unique(bits._slot(keys, k))) > 0.85 * len(keys)
+
+
 def test_token_probabilities_sum_to_less_than_one():
     from wearline.llm import bit_mixing as bits
 
