@@ -391,6 +391,22 @@ def test_forest_learns_from_labels(spark):
     assert all(r.is_secret == bool(r.doc_id % 2) for r in found) and len(found) == 120
 
 
+def test_doubtful_findings_are_no_labels(spark):
+    draw = random.Random(9)
+    value = lambda n: "".join(draw.choice("0123456789abcdefghijkmnopqrstuvw") for _ in range(n)) + "7q"
+    rows = [(i, f'token = "{value(20)}"') for i in range(40)] + [(i, f"id {draw.randrange(10**15, 10**16)}") for i in range(40, 2000)]
+    rows += [(2000, f"Bearer {value(20)}"), (2001, f"see AKIA{'Q7' * 8} there")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    described = secret_scan.features(secret_scan.candidates(frame), secret_scan.dictionary(frame))
+    marked = described.withColumn("label", secret_scan.rule_label()).withColumn("_rule", secret_scan.rule()).persist()
+    labels = {r.doc_id: r.label for r in marked.collect()}
+    assert [labels[i] for i in (0, 40, 2000, 2001)] == [1, 0, None, 1]
+    known = marked.where("label is not null")
+    counts = Counter(r._rule for r in secret_scan.stratified(known, 300).collect())
+    assert counts["format"] == 1 and counts["assigned"] == 40 and 200 < counts["digits"] < 320
+    assert [r.is_secret for r in secret_scan.scan(frame).where("doc_id = 2001").collect()] == [True]
+
+
 # Classifiers
 
 

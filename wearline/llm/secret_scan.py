@@ -4,11 +4,12 @@ Candidates are runs of key characters with a digit among them. Each is described
 kinds of characters, how much of it is made of words that the corpus uses, the path it is assigned to (the name before
 ``=`` or ``:`` and quotes) and the words next to it. A random forest, trained on labelled findings, says which
 candidates are secrets. Labels come with the caller; without them, formats and assignments that are secret or
-harmless beyond doubt are taken as labels. The dictionary counts the words of all documents; the forest is
-fitted on a bounded sample of findings.
+harmless beyond doubt are taken as labels, and the forest alone judges the others. What has a provider's format is a
+secret whatever the forest says. The dictionary counts the words of all documents; the forest is fitted on a bounded
+sample of findings, in which rules and labels that are rare have as many rows as frequent ones, as far as there are.
 
 NULL text counts as empty and has no findings. Where labels are all of one kind there is nothing to train, and the label
-rules themselves decide. Repeated rows have their findings each; a NULL id stays NULL. An empty table gives no
+rules themselves decide; what they leave open is then no secret. Repeated rows have their findings each; a NULL id stays NULL. An empty table gives no
 rows. Other columns are ignored.
 """
 
@@ -34,6 +35,10 @@ TREES, DEPTH, SEED = 40, 8, 7
 FORMATS = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9A-Za-z]{24,}|xox[abprs]-[0-9A-Za-z-]{10,})$"
 SENSITIVE = r"(?i)(pass|pwd|secret|token|key|auth|cred|private)"
 HARMLESS = r"(?i)(example|sample|dummy|test|placeholder|sha1|sha256|md5|commit|digest|checksum|uuid)"
+# Rules whose findings are secrets; those of all others are harmless.
+SECRET_RULES = ("format", "assigned")
+# Share of a candidate that dictionary words make up beyond which it is harmless.
+DICTIONARY = 0.8
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -126,6 +131,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
                 "f_marks": share("[A-Za-z0-9]"),
                 "f_distinct": F.size(F.array_distinct(F.split(c, ""))) / length,
                 "f_dictionary": F.coalesce("_covered", F.lit(0)) / length,
+                "f_format": flag(c.rlike(FORMATS)),
                 "f_path": flag(path != ""),
                 "f_path_sensitive": flag(path.rlike(SENSITIVE)),
                 "f_path_harmless": flag(path.rlike(HARMLESS)),
@@ -139,12 +145,38 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     )
 
 
-def rule_label() -> Column:
-    """1 for findings that are secret beyond doubt, 0 for harmless ones: by format, and by what they are assigned to."""
+def rule() -> Column:
+    """What settles a finding (see :func:`features`) beyond doubt, or NULL: the first that holds, by name."""
     path, c = F.col("path"), F.col("candidate")
     mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]") & ~c.rlike(HARMLESS)
-    assigned = path.rlike(SENSITIVE) & ~path.rlike(HARMLESS) & mixed
-    return (c.rlike(FORMATS) | assigned).cast("int")
+    holds = {
+        "format": c.rlike(FORMATS),
+        "harmless path": path.rlike(HARMLESS),
+        "digits": c.rlike("^[0-9]+$"),
+        "assigned": path.rlike(SENSITIVE) & mixed,
+        "harmless word": c.rlike(HARMLESS) & ~path.rlike(SENSITIVE),
+        "dictionary": (F.col("f_dictionary") >= DICTIONARY) & ~path.rlike(SENSITIVE),
+    }
+    return F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in holds.items()])
+
+
+def rule_label() -> Column:
+    """1 for findings that are secret beyond doubt, 0 for harmless ones, NULL for all others."""
+    return F.when(rule().isNotNull(), rule().isin(*SECRET_RULES).cast("int"))
+
+
+def stratified(marked: DataFrame, size: int) -> DataFrame:
+    """About ``size`` rows of ``marked``, chosen by a hash, as evenly from each rule and label as their numbers allow."""
+    strata = marked.groupBy("label", "_rule").count().orderBy("count", "label", "_rule").collect()
+    share, left = F.lit(0.0), size
+    for i, s in enumerate(strata):
+        taken = min(s["count"], left // (len(strata) - i))
+        left -= taken
+        here = F.col("label").eqNullSafe(s["label"]) & F.col("_rule").eqNullSafe(s["_rule"])
+        share = F.when(here, F.lit(taken / s["count"])).otherwise(share)
+    chosen = F.xxhash64("_key", "number")
+    # The limit only matters where one row is repeated very often.
+    return marked.where(F.pmod(chosen, F.lit(1 << 30)) < share * (1 << 30)).orderBy(chosen, "_key", "number").limit(2 * size)
 
 
 def scan(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -159,19 +191,19 @@ def scan(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         marked = described.withColumn("label", rule_label())
     else:
         marked = described.join(labels.select("doc_id", "start", F.col("label").cast("int")), ["doc_id", "start"])
+    marked = marked.where(F.col("label").isNotNull()).withColumn("_rule", rule())
     names = [c for c in described.columns if c.startswith("f_")]
-    sample = marked.where(F.col("label").isNotNull()).orderBy(F.xxhash64("_key", "number"), "_key", "number").limit(SAMPLE)
-    sample = materialised(sample.select("label", *names), "secret-sample")
+    sample = materialised(stratified(marked, SAMPLE).select("label", *names), "secret-sample")
     kept = ["doc_id", "number", "start", "length", "candidate", "before", "after", "path", "_key"]
     if sample.select("label").distinct().count() < 2:
-        return described.select(
-            *kept, rule_label().cast("double").alias("probability"), (rule_label() > 0).alias("is_secret")
-        )
+        settled = F.coalesce(rule_label(), F.lit(0))
+        return described.select(*kept, settled.cast("double").alias("probability"), (settled > 0).alias("is_secret"))
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="_vector", probabilityCol="_p", numTrees=TREES, maxDepth=DEPTH, seed=SEED
     )
     model = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="_vector"), forest]).fit(sample.coalesce(1))
-    scores = model.transform(described).withColumn("probability", vector_to_array("_p")[1])
+    judged = F.when(F.col("f_format") > 0, 1.0).otherwise(vector_to_array("_p")[1])
+    scores = model.transform(described).withColumn("probability", judged)
     return scores.select(*kept, "probability", (F.col("probability") >= 0.5).alias("is_secret"))
 
 
