@@ -1,6 +1,8 @@
 """Secret scans with a random forest against false positives, in DataFrame functions only.
 
-Candidates are runs of key characters with a digit among them. Each is described by its length, its changes between
+Candidates are private key blocks, web tokens, keys in a provider's format, user:password@host of an address, whatever is
+assigned to a sensitive name or follows Bearer or Basic, and other runs of key characters with a digit among them, the
+first of these that begins at a place. Each is described by its length, its changes between
 kinds of characters, how much of it is made of words that the corpus uses, the path it is assigned to (the name before
 ``=`` or ``:`` and quotes) and the words next to it. A random forest, trained on labelled findings, says which
 candidates are secrets. Labels come with the caller; without them, formats and assignments that are secret or
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 
 from wearline.llm.common import load, materialised, row_key
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}"
 BEFORE, AFTER = 48, 32
 REDACTED = "[SECRET]"
 # Words that this many places of the corpus hold are dictionary words.
@@ -32,9 +33,30 @@ WORD_USES = 20
 SAMPLE = 20_000
 TREES, DEPTH, SEED = 40, 8, 7
 # Formats that providers give their keys. Fixed values.
-FORMATS = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9A-Za-z]{24,}|xox[abprs]-[0-9A-Za-z-]{10,})$"
+PROVIDERS = r"(?:A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[A-Za-z0-9]{36,}|AIza[0-9A-Za-z_-]{35}(?![0-9A-Za-z_-])|sk_live_[0-9A-Za-z]{24,}|xox[abprs]-[0-9A-Za-z-]{10,})"
+BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\\\s:,-]{0,65536}?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+FORMATS = rf"^(?:{PROVIDERS}|{BLOCK})$"
 SENSITIVE = r"(?i)(pass|pwd|secret|token|key|auth|cred|private)"
 HARMLESS = r"(?i)(example|sample|dummy|test|placeholder|sha1|sha256|md5|commit|digest|checksum|uuid)"
+# What stands before an assigned value: the name, perhaps quotes, = or :, perhaps quotes or a scheme of authorization.
+_NAME = r"(?i:pass|pwd|secret|token|key|auth|cred|private)[A-Za-z0-9_.-]{0,24}[\"']?[ \t]{0,3}[=:][ \t]{0,3}"
+_SCHEME = r"(?i:bearer|basic)[ \t]"
+CANDIDATE = "|".join(
+    [
+        BLOCK,
+        r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}(?:\.[A-Za-z0-9_-]*)?",
+        # The short tests of what stands before spare the long ones at most places.
+        rf"(?<=[\"'])(?<=[=:][ \t]{{0,3}}[\"'])(?<={_NAME}[\"'])(?!{_SCHEME})[^\"'\r\n]+(?=[\"'])",
+        rf"(?<=[=: \t])(?<=[=:][ \t]{{0,3}})(?<={_NAME})(?!{_SCHEME})[^\s\"',;]+",
+        rf"(?<=[ \t])(?<={_SCHEME})(?=[^\s\"',;]*[0-9])[^\s\"',;]+",
+        r"(?<=://)[^\s:/@\"']*:[^\s@\"']+@[A-Za-z0-9._-]+",
+        rf"(?<![A-Za-z0-9]){PROVIDERS}",
+        # A run ends where a provider's key begins, and may begin behind one.
+        r"(?:(?<![A-Za-z0-9+/_-])|\G)(?=[A-Za-z+/_-]*[0-9])(?!//[^\s:/@\"']*:[^\s@\"']+@)"
+        rf"(?![A-Za-z0-9+/_-]{{0,11}}(?<![A-Za-z0-9]){PROVIDERS})"
+        rf"[A-Za-z0-9+/_-]{{12,}}?(?=(?<![A-Za-z0-9]){PROVIDERS}|(?![A-Za-z0-9+/_-]))",
+    ]
+)
 # Rules whose findings are secrets; those of all others are harmless.
 SECRET_RULES = ("format", "assigned")
 # Share of a candidate that dictionary words make up beyond which it is harmless.
@@ -113,7 +135,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     def flag(condition: Column) -> Column:
         return condition.cast("double")
 
-    assigned = r"([A-Za-z_][A-Za-z0-9_.-]*)[\"']?\s*[=:]\s*[\"']?$"
+    assigned = r"([A-Za-z_][A-Za-z0-9_.-]*)[\"']?\s*[=:]\s*[\"']?(?:(?i:bearer|basic)\s)?$"
     return (
         found.join(covered, "_id", "left")
         .withColumn("path", F.regexp_extract("before", assigned, 1))
