@@ -230,5 +230,41 @@ def test_plan_of_long_engines_shuffles_rows_once(spark, readings, tmp_path):
     assert "WindowGroupLimit" in plan
 
 
+@pytest.mark.parametrize("kind", ["train", "test"])
+def test_long_engines_hashed_by_id_move_by_block(spark, kind):
+    panel = spark.range(4000).selectExpr("cast(id % 2 as int) AS id", "cast(id as int) AS cycle", "double(id) AS s1")
+    truth = spark.createDataFrame([(0, 5), (1, 6)], "id int, rul_at_maxcycle int")
+    options = {"run_id": "X", "settings": [], "sensors": ["s1"], "max_group_rows": 100, "block_width": 64}
+    out = build_features(panel.repartition(4, "id"), kind, truth=truth if kind == "test" else None, **options)
+    assert "hashpartitioning(_block" in plan_of(out)
+    assert out.count() == 4000
+    # Without merging of small partitions, no task holds the rows of one engine.
+    few = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in few}
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        tasks = out.select("a1", "rul", F.spark_partition_id().alias("task")).collect()
+        assert max(np.bincount([r.task for r in tasks])) < 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("id_kind", ["int", "long"])
+def test_truth_of_long_engines_with_far_cycles(spark, id_kind):
+    rows = [(1, n * 10**13, float(n)) for n in range(10)] + [(2, 1, 1.0)]
+    panel = spark.createDataFrame(rows, "id int, cycle long, s1 double")
+    truth = spark.createDataFrame([(1, 7), (2, 3)], f"id {id_kind}, rul_at_maxcycle int")
+    whole, cut = (
+        build_features(panel, "test", run_id="X", truth=truth, settings=[], sensors=["s1"], max_group_rows=n)
+        .select("id", "cycle", "rul", "a1", "sd1")
+        .orderBy("id", "cycle")
+        .collect()
+        for n in (None, 5)
+    )
+    assert cut == whole and len(cut) == len(rows)
+
+
 def test_raw_rows_are_the_fixture(readings):
     assert sorted(tuple(r)[1:] for r in readings.collect()) == synthetic_rows()

@@ -21,7 +21,6 @@ MAX_GROUP_ROWS = 1_000_000
 BLOCK_WIDTH = 65_536
 
 BLOCK = "_block"
-FIRST = "_first_time"
 LAST = "_last_time"
 
 
@@ -34,41 +33,40 @@ def int_block(width: int = BLOCK_WIDTH) -> Callable[[Column], Column]:
 class Layout:
     """Placement of one panel: its keys, its time column and its long groups, if any.
 
-    ``long`` holds one row per long group: keys, first and last time.
+    ``long`` holds one row per long group: keys and last time; ``blocks`` one row per
+    block that such a group has rows in: keys and the block's number.
     """
 
     keys: tuple[str, ...]
     time: str
     block_of: Callable[[Column], Column]
     long: DataFrame | None
+    blocks: DataFrame | None = None
 
     @property
     def placed_by(self) -> tuple[str, ...]:
         """Columns whose equal values share a task."""
-        return self.keys if self.long is None else (*self.keys, BLOCK)
+        return self.keys if self.long is None else (BLOCK,)
+
+    def _block(self, number: Column) -> Column:
+        """Keys and block as one value: rows hashed by the keys alone do not count as placed by it."""
+        return F.struct(*self.keys, number.alias("block"))
 
     def place(self, df: DataFrame) -> DataFrame:
-        """``df`` with its block, plus first and last time of the group where it is long."""
+        """``df`` with its block, plus the last time of the group where it is long."""
         if self.long is None:
             return df
         marked = df.join(self.long, list(self.keys), "left")
-        return marked.withColumn(
-            BLOCK, F.when(F.col(LAST).isNotNull(), self.block_of(F.col(self.time))).otherwise(F.lit(0).cast("long"))
-        )
+        number = F.when(F.col(LAST).isNotNull(), self.block_of(F.col(self.time))).otherwise(F.lit(0).cast("long"))
+        return marked.withColumn(BLOCK, self._block(number))
 
     def place_groups(self, groups: DataFrame) -> DataFrame:
-        """Rows that describe whole groups, repeated once per block of a long group."""
+        """Rows that describe whole groups, repeated once per block that a long group has rows in."""
         if self.long is None:
             return groups
-        blocks = F.when(
-            F.col(LAST).isNotNull(),
-            F.sequence(self.block_of(F.col(FIRST)), self.block_of(F.col(LAST))),
-        ).otherwise(F.array(F.lit(0).cast("long")))
-        return (
-            groups.join(self.long, list(self.keys), "left")
-            .withColumn(BLOCK, F.explode(blocks))
-            .drop(FIRST, LAST)
-        )
+        repeated = groups.join(self.blocks, list(self.keys), "left")
+        number = F.coalesce("_number", F.lit(0).cast("long"))
+        return repeated.withColumn(BLOCK, self._block(number)).drop("_number", *self.keys)
 
 
 def measure(
@@ -94,12 +92,20 @@ def measure(
         return Layout(keys, time, block_of, None)
     long = (
         df.groupBy(*keys)
-        .agg(rows.alias("_rows"), F.min(time).alias(FIRST), F.max(time).alias(LAST))
+        .agg(rows.alias("_rows"), F.max(time).alias(LAST))
         .where(F.col("_rows") > max_group_rows)
         .drop("_rows")
     )
     # Found once; the joins below would otherwise each count the groups again.
-    return Layout(keys, time, block_of, broadcast_if_small(checkpointed(long)))
+    long = broadcast_if_small(checkpointed(long))
+    blocks = (
+        df.select(*dict.fromkeys([*keys, time]))
+        .join(long, list(keys))
+        .groupBy(*keys, block_of(F.col(time)).alias("_number"))
+        .agg(rows.alias("_rows"))
+        .drop("_rows")
+    )
+    return Layout(keys, time, block_of, long, blocks)
 
 
 def ordinal(
@@ -126,9 +132,9 @@ def ordinal(
     offsets = (
         layout.place(df.select(*dict.fromkeys([*layout.keys, order[0]])))
         .where(F.col(LAST).isNotNull())
-        .groupBy(*layout.placed_by)
+        .groupBy(*layout.keys, BLOCK)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*layout.placed_by, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        .select(BLOCK, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
     return (
         ranked.join(offsets, list(layout.placed_by), "left")

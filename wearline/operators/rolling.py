@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearline.operators.layout import BLOCK, FIRST, LAST, Layout
+from wearline.operators.layout import BLOCK, LAST, Layout
 
 _HALO = "_halo"
 _LAST_TIME = "_group_last"
@@ -65,7 +65,7 @@ def with_rolling_stats(
     # The ordered window comes first: its sort also clusters the groups for the maximum.
     out = placed.withColumns(stats).withColumn(_LAST_TIME, F.max(layout.time).over(whole))
     if split:
-        out = out.withColumn(_LAST_TIME, F.coalesce(LAST, _LAST_TIME)).drop(FIRST, LAST)
+        out = out.withColumn(_LAST_TIME, F.coalesce(LAST, _LAST_TIME)).drop(LAST)
         if reach:
             out = out.where(~F.col(_HALO)).drop(_HALO)
     return out, _LAST_TIME
