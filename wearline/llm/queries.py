@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from wearline.llm import exact_dedup, lm, merkle, packing, quality, secret_scan, simhash, token_files, toxicity, trie_bpe
+from wearline.llm import (
+    bond,
+    centroid_tree,
+    exact_dedup,
+    lm,
+    merkle,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    site_style_tree,
+    token_files,
+    toxicity,
+    trie_bpe,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,5 +29,8 @@ QUERIES = {
     "op8_merkle": merkle.op8_merkle,
     "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_trie_bpe": trie_bpe.op10_trie_bpe,
+    "op11_bond_negatives": bond.op11_bond_negatives,
+    "op12_site_style_tree": site_style_tree.op12_site_style_tree,
+    "op13_centroid_tree": centroid_tree.op13_centroid_tree,
 }
 ORACLES = {"op1_exact_dedup": exact_dedup.OP1_SQL, "op8_merkle": merkle.OP8_SQL}
