@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import math
+
+import duckdb
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import plan_of, synthetic_rows
 from hypothesis import HealthCheck, given, settings
@@ -9,10 +12,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wearline import schema
+from wearline.operators import rolling
 from wearline.operators.features import build_features, last_cycle
-from wearline.operators.layout import ordinal
+from wearline.operators.layout import measure, ordinal
+from wearline.operators.rolling import with_rolling_stats
 
-# id, cycle, rul, label1, label2, a1, sd1, a21
+# Id, cycle, rul, label1, label2, a1, sd1, a21 of the fixture.
 GOLD = [
     (1, 1, 5, 1, 2, 1.0, None, 21.0),
     (1, 2, 4, 1, 2, 1.5, 0.7071067811865476, 21.5),
@@ -24,10 +29,10 @@ GOLD = [
     (2, 2, 1, 1, 2, 15.0, 7.0710678118654755, 215.0),
     (2, 3, 0, 1, 2, 20.0, 10.0, 220.0),
 ]
-SPLIT = {"max_group_rows": 2, "block_width": 2}
+SPLIT = {"max_group_rows": 2, "block_rows": 2}
 
 
-@pytest.mark.parametrize("options", [{}, SPLIT, {"max_group_rows": 4, "block_width": 3}])
+@pytest.mark.parametrize("options", [{}, SPLIT, {"max_group_rows": 4, "block_rows": 3}])
 def test_train_gold(readings, options):
     out = build_features(readings, "train", run_id="SYN", ordered=True, **options)
     rows = out.select("id", "cycle", "rul", "label1", "label2", "a1", "sd1", "a21").collect()
@@ -136,13 +141,26 @@ def test_last_cycle(readings):
     assert {(r.id, r.last_cycle) for r in last_cycle(readings).collect()} == {(1, 6), (2, 3)}
 
 
-def rolling_by_pandas(frame: pd.DataFrame, window: int) -> pd.DataFrame:
-    frame = frame.sort_values(["id", "cycle"]).reset_index(drop=True)
-    rolled = frame.groupby("id")["s1"].rolling(window, min_periods=1)
-    frame["a1"] = rolled.mean().reset_index(drop=True)
-    frame["sd1"] = rolled.std().reset_index(drop=True)
-    frame["rul"] = frame.groupby("id")["cycle"].transform("max") - frame["cycle"]
-    return frame
+def rolled_by_sql(rows: list[tuple], window: int) -> list[tuple]:
+    """id, cycle, rul, a1, sd1 of rows (id, cycle, s1), ordered, by another engine."""
+    panel = pa.table(list(zip(*rows, strict=True)) or [[]] * 3, names=["id", "cycle", "s1"])  # noqa: F841
+    return duckdb.sql(f"""
+        SELECT id, cycle, max(cycle) OVER (PARTITION BY id) - cycle AS rul,
+               avg(s1::DOUBLE) OVER w AS a1, stddev_samp(s1::DOUBLE) OVER w AS sd1
+        FROM panel
+        WINDOW w AS (PARTITION BY id ORDER BY cycle ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)
+        ORDER BY id, cycle""").fetchall()
+
+
+def assert_same_features(found: list[tuple], wanted: list[tuple]) -> None:
+    assert [r[:3] for r in found] == [r[:3] for r in wanted]
+    numbers = [np.array([[np.nan if x is None else x for x in r[3:]] for r in rows]) for rows in (found, wanted)]
+    np.testing.assert_allclose(*numbers, rtol=1e-9, atol=1e-9, equal_nan=True)
+
+
+def of_one_sensor(panel, window: int, **options) -> list[tuple]:
+    out = build_features(panel, "train", run_id="X", settings=[], sensors=["s1"], window_rows=window, **options)
+    return sorted(map(tuple, out.select("id", "cycle", "rul", "a1", "sd1").collect()))
 
 
 panels = st.dictionaries(
@@ -157,38 +175,145 @@ panels = st.dictionaries(
 @given(
     engines=panels,
     window=st.integers(1, 9),
-    block_width=st.integers(1, 12),
+    block_rows=st.integers(1, 12),
     max_group_rows=st.integers(0, 20),
 )
-def test_split_engines_match_whole_ones(spark, engines, window, block_width, max_group_rows):
+def test_split_engines_match_whole_ones(spark, engines, window, block_rows, max_group_rows):
     """Any cut of long engines, with gaps in time, gives the frames of the uncut engine."""
     rows = [
         (i, c, None if v is None else float(v)) for i, values in engines.items() for c, v in values.items()
     ]
     panel = spark.createDataFrame(rows, "id int, cycle int, s1 double")
-    out = build_features(
-        panel,
-        "train",
-        run_id="X",
-        settings=[],
-        sensors=["s1"],
-        window_rows=window,
-        max_group_rows=max_group_rows,
-        block_width=block_width,
+    found = of_one_sensor(panel, window, max_group_rows=max_group_rows, block_rows=block_rows)
+    assert_same_features(found, rolled_by_sql(rows, window))
+
+
+def times(kind: str, n: int) -> list[int]:
+    """``n`` different times: one after the other, far apart, or half of them in a millionth of the whole span."""
+    if kind == "dense":
+        return list(range(n))
+    if kind == "sparse":
+        return [(i * 600) ** 3 for i in range(n)]
+    if kind == "negative":
+        return [(i - n // 2) * 10**12 for i in range(n)]
+    return [i for i in range(n // 2)] + [10**6 * n + i * 10**6 for i in range(n - n // 2)]
+
+
+def sizes_of_blocks(layout) -> dict:
+    """Rows per block of each long group."""
+    return {r["id"]: np.diff(r["_starts"]).tolist() for r in layout.long.collect()}
+
+
+@pytest.mark.parametrize("kind", ["dense", "sparse", "negative", "skewed"])
+def test_blocks_hold_bounded_rows(spark, kind):
+    rows = [(1, t) for t in times(kind, 3000)] + [(2, t) for t in times("dense", 90)] + [(3, 5)]
+    panel = spark.createDataFrame(rows, "id int, cycle long").repartition(5)
+    layout = measure(panel, ["id"], ["cycle"], max_group_rows=50, block_rows=100)
+    sizes = sizes_of_blocks(layout)
+    assert {i: sum(s) for i, s in sizes.items()} == {1: 3000, 2: 90}
+    for blocks in sizes.values():
+        assert max(blocks) <= 100
+        assert all(a + b > 50 for a, b in zip(blocks, blocks[1:]))
+    # The rows really lie as the layout says, in the order of time.
+    placed = layout.place(panel).groupBy("id", "_block").agg(F.count("*").alias("n"), F.min("cycle").alias("first"))
+    found = {}
+    for r in placed.orderBy("id", "first").collect():
+        found.setdefault(r.id, []).append(r.n)
+    assert found == {**sizes, 3: [1]}
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_blocks_of_a_busy_moment_are_cut_by_the_next_column(spark, kind):
+    """A single time with half of all rows falls apart into several blocks; so do the rows around it."""
+    n = 1200
+    rows = spark.range(n).selectExpr(
+        "cast(1 as int) AS id", "id AS event",
+        f"cast(timestamp'2024-01-01' + make_interval(0, 0, 0, if(id % 2 = 0, 7, cast(id as int))) as {kind}) AS at",
+    )
+    layout = measure(rows, ["id"], ["at", "event"], max_group_rows=50, block_rows=60)
+    (blocks,) = sizes_of_blocks(layout).values()
+    assert sum(blocks) == n and max(blocks) <= 60
+    numbered = ordinal(rows, ["id"], ["at", "event"], "n", max_group_rows=50, block_rows=60)
+    found = [r.n for r in numbered.orderBy("at", "event").collect()]
+    assert found == list(range(1, n + 1))
+    assert dict(numbered.dtypes)["n"] == "int"
+
+
+def test_rows_of_one_order_key_share_a_block(spark):
+    rows = spark.range(500).selectExpr("cast(1 as int) AS id", "if(id < 300, 7, id) AS cycle")
+    (blocks,) = sizes_of_blocks(measure(rows, ["id"], ["cycle"], max_group_rows=10, block_rows=20)).values()
+    assert max(blocks) >= 300 and sum(blocks) == 500
+
+
+def test_text_is_no_order_for_long_groups(spark):
+    rows = spark.range(50).selectExpr("1 AS id", "cast(id as string) AS at")
+    assert measure(rows, ["id"], ["at"], max_group_rows=50).long is None
+    with pytest.raises(ValueError, match="integers, dates or timestamps"):
+        measure(rows, ["id"], ["at"], max_group_rows=10)
+
+
+@pytest.mark.parametrize("window", [5, 51])
+@pytest.mark.parametrize("kind", ["dense", "skewed"])
+def test_rows_carried_over_are_at_most_a_frame_per_block(spark, window, kind):
+    rows = [(1, t, float(t % 17)) for t in times(kind, 2000)]
+    panel = spark.createDataFrame(rows, "id int, cycle long, s1 double")
+    layout = measure(panel, ["id"], ["cycle"], max_group_rows=20, block_rows=8, least_rows=window)
+    (blocks,) = sizes_of_blocks(layout).values()
+    placed = layout.place(panel, carried=window - 1)
+    counts = placed.groupBy("_block").agg(
+        F.count("*").alias("n"), F.count_if(F.col("_start").isNull()).alias("carried")
     )
-    got = pd.DataFrame(
-        [tuple(r) for r in out.select("id", "cycle", "rul", "a1", "sd1").collect()],
-        columns=["id", "cycle", "rul", "a1", "sd1"],
+    counts = counts.collect()
+    assert max(r.carried for r in counts) <= window - 1
+    assert sum(r.n for r in counts) <= 2000 + (window - 1) * len(blocks) < 5000
+    assert max(r.n for r in counts) <= 2 * max(4, window) + window - 1
+    assert_same_features(
+        of_one_sensor(panel, window, max_group_rows=20, block_rows=8), rolled_by_sql(rows, window)
     )
-    got = got.sort_values(["id", "cycle"]).reset_index(drop=True)
-    frame = pd.DataFrame(rows, columns=["id", "cycle", "s1"])
-    want = rolling_by_pandas(frame.astype({"s1": "float64"}), window)
-    assert len(got) == len(rows)
-    np.testing.assert_array_equal(got[["id", "cycle", "rul"]], want[["id", "cycle", "rul"]])
-    for column in ("a1", "sd1"):
-        np.testing.assert_allclose(
-            got[column].astype("float64"), want[column], rtol=1e-9, atol=1e-9, equal_nan=True
-        )
+
+
+@pytest.mark.parametrize("block_rows", [2, 5, 16])
+def test_frames_over_many_small_blocks(spark, block_rows):
+    """Blocks shorter than a frame: the rows of several of them are carried into the next."""
+    rows = [(1, t, float((t * t) % 23)) for t in times("skewed", 150)]
+    panel = spark.createDataFrame(rows, "id int, cycle long, s1 double")
+    layout = measure(panel, ["id"], ["cycle"], max_group_rows=3, block_rows=block_rows)
+    out, end = with_rolling_stats(panel, layout, ["s1"], 19)
+    found = sorted(map(tuple, out.select("id", "cycle", F.col(end) - F.col("cycle"), "a1", "sd1").collect()))
+    assert_same_features(found, rolled_by_sql(rows, 19))
+
+
+@pytest.mark.parametrize("options", [{}, {"max_group_rows": 60, "block_rows": 40}])
+@pytest.mark.parametrize("window", [11, 12, 64, 199, 1000])
+def test_long_frames_from_moments(spark, window, options):
+    rows = [
+        (i, c, None if c % 7 == i else 1e6 + math.sin(c * i) * 10 ** (c % 4))
+        for i, n in ((1, 400), (2, 31), (3, 1), (4, 25))
+        for c in range(0, 3 * n, 3)
+    ]
+    panel = spark.createDataFrame(rows, "id int, cycle int, s1 double").repartition(3)
+    assert_same_features(of_one_sensor(panel, window, **options), rolled_by_sql(rows, window))
+
+
+def test_moments_forget_what_leaves_the_frame(spark, monkeypatch):
+    """After a NaN or an infinity has left the frame, statistics are those of the rows in it."""
+    odd = {30: float("nan"), 90: float("inf"), 91: float("-inf"), 150: None}
+    rows = [(1, c, odd.get(c, float(c % 11))) for c in range(260)]
+    panel = spark.createDataFrame(rows, "id int, cycle int, s1 double")
+    by_moments = of_one_sensor(panel, 30)
+    monkeypatch.setattr(rolling, "MAX_DIRECT_ROWS", 30)
+    direct = of_one_sensor(panel, 30)
+    assert_same_features(by_moments, direct)
+    assert not any(math.isnan(x) for r in by_moments if r[1] >= 121 for x in r[3:])
+
+
+def test_plan_of_long_frames_moves_rows_once(spark, readings, tmp_path):
+    path = str(tmp_path / "readings")
+    readings.write.parquet(path)
+    plan = plan_of(build_features(spark.read.parquet(path), "train", run_id="SYN", window_rows=500))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    # No frame is aggregated row by row: all of them start or end with their stretch.
+    assert "499" not in "".join(line for line in plan.splitlines() if "avg(" in line and "lag(" not in line)
 
 
 @pytest.mark.parametrize("max_group_rows", [None, 0, 5, 1000])
@@ -200,8 +325,8 @@ def test_ordinal_numbers_rows_of_long_groups(spark, max_group_rows):
         ["g"],
         ["at", "tie"],
         "n",
-        block_of=lambda c: F.floor(c / 4).cast("long"),
         max_group_rows=max_group_rows,
+        block_rows=4,
     )
     want = [
         (g, at, tie, n)
@@ -234,7 +359,7 @@ def test_plan_of_long_engines_shuffles_rows_once(spark, readings, tmp_path):
 def test_long_engines_hashed_by_id_move_by_block(spark, kind):
     panel = spark.range(4000).selectExpr("cast(id % 2 as int) AS id", "cast(id as int) AS cycle", "double(id) AS s1")
     truth = spark.createDataFrame([(0, 5), (1, 6)], "id int, rul_at_maxcycle int")
-    options = {"run_id": "X", "settings": [], "sensors": ["s1"], "max_group_rows": 100, "block_width": 64}
+    options = {"run_id": "X", "settings": [], "sensors": ["s1"], "max_group_rows": 100, "block_rows": 64}
     out = build_features(panel.repartition(4, "id"), kind, truth=truth if kind == "test" else None, **options)
     assert "hashpartitioning(_block" in plan_of(out)
     assert out.count() == 4000

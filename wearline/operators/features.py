@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearline.functions.labels import binary_label, remaining_life, three_class_label
-from wearline.operators.layout import BLOCK_WIDTH, MAX_GROUP_ROWS, Layout, int_block, measure
+from wearline.operators.layout import MAX_GROUP_ROWS, Layout, measure
 from wearline.operators.opmodes import OpModeModel
 from wearline.operators.rolling import with_rolling_stats
 from wearline.schema import KINDS, SENSORS, SETTINGS, WINDOW_ROWS
@@ -40,7 +40,7 @@ def build_features(
     sensors: Sequence[str] = SENSORS,
     ordered: bool = False,
     max_group_rows: int | None = MAX_GROUP_ROWS,
-    block_width: int = BLOCK_WIDTH,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Feature table of one run, or of all runs at once when ``run_id`` is None.
 
@@ -48,8 +48,8 @@ def build_features(
     ``kind='test'``: ``truth`` (id, rul_at_maxcycle) says how long each engine
     lives on; engines without truth drop out. ``op_modes`` is a table (id, cycle,
     operationmode), joined left, or a fitted model, applied to the rows before
-    the shuffle without a join. ``max_group_rows`` and ``block_width`` steer
-    how long engines are split; they do not change the result.
+    the shuffle without a join. ``max_group_rows`` and ``block_rows`` steer
+    how long engines are cut into blocks; they do not change the result.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be 'train' or 'test', got {kind!r}")
@@ -61,8 +61,9 @@ def build_features(
     base = _of_run(readings, run_id, ["id", "cycle", *measured])
     if isinstance(op_modes, OpModeModel):
         base = op_modes.transform(base)
+    # Blocks of at least a frame each, so that carried rows at most double a panel.
     layout = measure(
-        base, keys, "cycle", block_of=int_block(block_width), max_group_rows=max_group_rows
+        base, keys, ["cycle"], max_group_rows=max_group_rows, block_rows=block_rows, least_rows=max(1, window_rows)
     )
     rows, end = with_rolling_stats(base, layout, sensors, window_rows)
 

@@ -4,37 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearline.operators.layout import BLOCK, LAST, Layout
+from wearline.operators.layout import LAST, START, Layout
 
-_HALO = "_halo"
 _LAST_TIME = "_group_last"
+# Longer frames are put together from moments, at a cost that does not depend on their length.
+MAX_DIRECT_ROWS = 10
 
 
-def _with_halo(placed: DataFrame, layout: Layout, reach: int) -> DataFrame:
-    """Blocks of long groups preceded by the ``reach`` rows their first frames look back on.
+def _direct(placed: DataFrame, layout: Layout, columns: Sequence[str], window_rows: int) -> DataFrame:
+    """Each frame is aggregated by itself."""
+    by_time = Window.partitionBy(*layout.placed_by).orderBy(layout.time)
+    frame = by_time.rowsBetween(1 - window_rows, Window.currentRow)
+    stats = {}
+    for j, name in enumerate(columns, start=1):
+        stats[f"a{j}"] = F.avg(name).over(frame)
+        stats[f"sd{j}"] = F.stddev_samp(name).over(frame)
+    return placed.withColumns(stats)
 
-    The last ``reach`` rows of every block are enough to find them: a row feeds
-    each block that starts at most ``reach`` rows later.
-    """
-    latest = Window.partitionBy(*layout.placed_by).orderBy(F.col(layout.time).desc())
-    tails = (
-        placed.where(F.col(LAST).isNotNull())
-        .withColumn("_rank", F.row_number().over(latest))
-        .where(F.col("_rank") <= reach)
-        .drop("_rank")
-    )
-    following = Window.partitionBy(*layout.keys).orderBy(layout.time).rowsBetween(1, reach)
-    fed = F.array_remove(F.collect_set(BLOCK).over(following), F.col(BLOCK))
-    halo = (
-        tails.withColumn("_fed", fed)
-        .withColumn(BLOCK, F.explode("_fed"))
-        .drop("_fed")
-        .withColumn(_HALO, F.lit(True))
+
+def _moments(name: str, window) -> Column:
+    """Count, mean and sum of squared deviations; NULLs are skipped."""
+    n = F.count(name).over(window)
+    return F.struct(
+        n.cast("double").alias("n"),
+        F.coalesce(F.avg(name).over(window), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.var_pop(name).over(window) * n, F.lit(0.0)).alias("squares"),
     )
-    return placed.withColumn(_HALO, F.lit(False)).unionByName(halo)
+
+
+def _merged(a: Column, b: Column) -> tuple[Column, Column]:
+    """Mean and sample deviation of two sets of rows from their moments."""
+    n = a["n"] + b["n"]
+    apart = b["mean"] - a["mean"]
+    squares = a["squares"] + b["squares"] + apart * apart * a["n"] * b["n"] / n
+    mean = (a["n"] * a["mean"] + b["n"] * b["mean"]) / n
+    return F.when(n > 0, mean), F.when(n > 1, F.sqrt(squares / (n - 1)))
+
+
+def _from_moments(placed: DataFrame, layout: Layout, columns: Sequence[str], window_rows: int) -> DataFrame:
+    """Each frame is the end of one stretch of ``window_rows`` rows and the beginning of the next.
+
+    Moments of all beginnings and of all ends are running aggregates of the stretches, so a row costs the same
+    for any length of the frame; sums that grow and shrink, which lose digits and never recover from
+    a NaN, are avoided.
+    """
+    by_time = Window.partitionBy(*layout.placed_by).orderBy(layout.time)
+    place = F.row_number().over(by_time) - 1
+    rows = placed.withColumn("_place", place).withColumn("_stretch", F.expr(f"_place div {window_rows}"))
+    stretch = Window.partitionBy(*layout.placed_by, "_stretch")
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    back = stretch.orderBy(F.desc(layout.time)).rowsBetween(*upto)
+    ahead = stretch.orderBy(layout.time).rowsBetween(*upto)
+    in_order = Window.partitionBy(*layout.placed_by).orderBy("_stretch", layout.time)
+    names = [f"m{j}" for j in range(1, len(columns) + 1)]
+    rows = rows.withColumn("_ends", F.struct(*[_moments(c, back).alias(m) for m, c in zip(names, columns, strict=True)]))
+    rows = rows.withColumn("_begins", F.struct(*[_moments(c, ahead).alias(m) for m, c in zip(names, columns, strict=True)]))
+    # The last row of a stretch has all of its frame in it.
+    earlier = F.lag("_ends", window_rows - 1).over(in_order)
+    rows = rows.withColumn("_earlier", F.when(F.col("_place") % window_rows != window_rows - 1, earlier))
+    stats = {}
+    none = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+    for j, m in enumerate(names, start=1):
+        a, b = F.coalesce(F.col(f"_earlier.{m}"), none), F.col(f"_begins.{m}")
+        stats[f"a{j}"], stats[f"sd{j}"] = _merged(a, b)
+    return rows.withColumns(stats).drop("_place", "_stretch", "_ends", "_begins", "_earlier")
 
 
 def with_rolling_stats(
@@ -44,28 +80,19 @@ def with_rolling_stats(
 
     The frame is the current row and the ``window_rows - 1`` rows before it in
     time; NULLs are skipped. Also adds the last time of the group, whose column
-    name is returned, since both windows share one shuffle and one sort.
+    name is returned, since all windows share one shuffle.
     """
     if window_rows < 1:
         raise ValueError(f"window_rows must be at least 1, got {window_rows}")
-    reach = window_rows - 1
-    placed = layout.place(df)
     split = layout.long is not None
-    if split and reach:
-        placed = _with_halo(placed, layout, reach)
-
-    by_time = Window.partitionBy(*layout.placed_by).orderBy(layout.time)
-    frame = by_time.rowsBetween(-reach, Window.currentRow)
+    placed = layout.place(df, carried=window_rows - 1)
+    rolled = _direct if window_rows <= MAX_DIRECT_ROWS else _from_moments
+    out = rolled(placed, layout, columns, window_rows)
+    # The ordered windows come first: their sort also clusters the groups for the maximum.
     whole = Window.partitionBy(*layout.placed_by)
-
-    stats = {}
-    for j, name in enumerate(columns, start=1):
-        stats[f"a{j}"] = F.avg(name).over(frame)
-        stats[f"sd{j}"] = F.stddev_samp(name).over(frame)
-    # The ordered window comes first: its sort also clusters the groups for the maximum.
-    out = placed.withColumns(stats).withColumn(_LAST_TIME, F.max(layout.time).over(whole))
+    out = out.withColumn(_LAST_TIME, F.max(layout.time).over(whole))
     if split:
-        out = out.withColumn(_LAST_TIME, F.coalesce(LAST, _LAST_TIME)).drop(LAST)
-        if reach:
-            out = out.where(~F.col(_HALO)).drop(_HALO)
+        # Rows carried over from earlier blocks have done their part.
+        own = F.col(LAST).isNull() | F.col(START).isNotNull()
+        out = out.where(own).withColumn(_LAST_TIME, F.coalesce(LAST, _LAST_TIME)).drop(LAST, START)
     return out, _LAST_TIME

@@ -7,7 +7,7 @@ order number is the time, with gaps.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.operators.layout import MAX_GROUP_ROWS, ordinal
@@ -20,14 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _minute(ts):
-    return F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
-
-
 def events_panel(
-    spark: SparkSession, sf_dir: str, *, max_group_rows: int | None = MAX_GROUP_ROWS
+    spark: SparkSession,
+    sf_dir: str,
+    *,
+    engine: Column | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """``run_id, id, cycle, setting1..3, s1..s3, event_type``.
+    """``run_id, id, cycle, setting1..3, s1..s3, event_type``; engines are users unless ``engine`` says otherwise.
 
     Settings: hour, weekday, a constant. Sensors: value, the number in props,
     and hours since the start of the month, which wear on with the cycles.
@@ -36,7 +36,7 @@ def events_panel(
     # Keys get their final names here, so that the windows to come share one shuffle.
     rows = table(spark, sf_dir, "events").select(
         F.lit("ev").alias("run_id"),
-        F.col("user_id").alias("id"),
+        (F.col("user_id") if engine is None else engine).alias("id"),
         "ts",
         "event_id",
         hour.alias("setting1"),
@@ -47,9 +47,7 @@ def events_panel(
         ((day - 1) * 24 + hour).alias("s3"),
         "event_type",
     )
-    numbered = ordinal(
-        rows, ["id"], ["ts", "event_id"], "cycle", block_of=_minute, max_group_rows=max_group_rows
-    )
+    numbered = ordinal(rows, ["id"], ["ts", "event_id"], "cycle", max_group_rows=max_group_rows)
     return numbered.select(
         "run_id", "id", "cycle", *EVENT_SETTINGS, *EVENT_SENSORS, "event_type"
     )
@@ -77,10 +75,10 @@ def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``run_id, id, rul_at_maxcycle``: number of orders of each customer."""
+def orders_truth(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """``run_id, id, rul_at_maxcycle``: number of orders of each customer, of all orders unless given."""
     return (
-        table(spark, sf_dir, "orders")
+        (table(spark, sf_dir, "orders") if orders is None else orders)
         .groupBy(F.col("o_custkey").alias("id"))
         .agg(F.count(F.lit(1)).cast("int").alias("rul_at_maxcycle"))
         .select(F.lit("ev").alias("run_id"), "id", "rul_at_maxcycle")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wearline.functions import min_max_scaled, nan_to_num, proba_columns, three_class_label
 from wearline.operators import catalogue, metrics, quality
 from wearline.operators.features import build_features, last_cycle
+from wearline.operators.layout import ordinal
 from wearline.operators.opmodes import fit_op_modes, nearest_centre
 from wearline.operators.scoring import evaluate, score
 from wearline.operators.split import HELD_OUT, stratified_split
@@ -81,10 +82,10 @@ LABEL_SQL = """CASE WHEN rul <= 30 THEN 1 ELSE 0 END AS label1,
          CASE WHEN rul <= 15 THEN 2 WHEN rul <= 30 THEN 1 ELSE 0 END AS label2"""
 
 
-def _stats_sql(window: str, sensors: int = 3) -> str:
+def _stats_sql(window: str, sensors: int = 3, onto: float = 0.5) -> str:
     return ", ".join(
-        f"floor(avg(s{j}) OVER {window} * 1e6 + 0.5) / 1e6 AS a{j}, "
-        f"floor(stddev_samp(s{j}) OVER {window} * 1e6 + 0.5) / 1e6 AS sd{j}"
+        f"floor(avg(s{j}) OVER {window} * 1e6 + {onto}) / 1e6 AS a{j}, "
+        f"floor(stddev_samp(s{j}) OVER {window} * 1e6 + {onto}) / 1e6 AS sd{j}"
         for j in range(1, sensors + 1)
     )
 
@@ -99,13 +100,14 @@ def _features_sql(
     joins: str = "",
     sensors: int = 3,
     extra: str = "",
+    onto: float = 0.5,
 ) -> str:
     columns = ", ".join(["setting1", "setting2", "setting3", *[f"s{j}" for j in range(1, sensors + 1)]])
     return f"""
 WITH {ctes},
 rolled AS (
   SELECT {keys}, cycle, {columns}, {rul.format(keys=keys)} AS rul,
-         {_stats_sql("w", sensors)}{", event_type" if extra else ""}
+         {_stats_sql("w", sensors, onto)}{", event_type" if extra else ""}
   FROM {source} {joins}
   WINDOW w AS (PARTITION BY {keys} ORDER BY cycle ROWS BETWEEN {frame - 1} PRECEDING AND CURRENT ROW))
 SELECT {keys}, cycle, {columns}, rul, {LABEL_SQL},
@@ -113,11 +115,21 @@ SELECT {keys}, cycle, {columns}, rul, {LABEL_SQL},
 FROM rolled"""
 
 
-def _rounded(features: DataFrame, sensors: int = 3) -> DataFrame:
-    """Statistics at six places: the last digits depend on the order of summation."""
+def _rounded(features: DataFrame, sensors: int = 3, onto: float = 0.5) -> DataFrame:
+    """Statistics at six places: the last digits depend on the order of summation.
+
+    Means of more rows than ten can end in just half a place; for them ``onto`` is something else.
+    """
     names = [f"{p}{j}" for j in range(1, sensors + 1) for p in ("a", "sd")]
     # Far cheaper than F.round, which goes through decimals.
-    return features.withColumns({n: F.floor(F.col(n) * 1e6 + 0.5) / F.lit(1e6) for n in names})
+    return features.withColumns({n: F.floor(F.col(n) * 1e6 + onto) / F.lit(1e6) for n in names})
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """A derived panel as a plant keeps it: stored, so that passes over it do not derive it again."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _event_features(panel: DataFrame, kind: str = "train", **options) -> DataFrame:
@@ -199,8 +211,62 @@ def features_21_sensors(spark, sf_dir):
 @query(_features_sql())
 def features_split_engines(spark, sf_dir):
     """``features_train`` with every engine of more than 20 cycles cut into blocks of 8."""
-    panel = events_panel(spark, sf_dir, max_group_rows=20)
-    return _rounded(_event_features(panel, max_group_rows=20, block_width=8))
+    panel = _kept(events_panel(spark, sf_dir, max_group_rows=20), "panel")
+    return _rounded(_event_features(panel, max_group_rows=20, block_rows=8))
+
+
+_TYPES = f"""{PANEL}, types AS (
+  SELECT length(event_type) AS id,
+         CAST(row_number() OVER (PARTITION BY length(event_type) ORDER BY ts, event_id) AS INTEGER) AS cycle,
+         CAST(hour(ts) AS DOUBLE) AS setting1, CAST(isodow(ts) AS DOUBLE) AS setting2, CAST(100 AS DOUBLE) AS setting3,
+         value AS s1, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS s2,
+         CAST((day(ts) - 1) * 24 + hour(ts) AS DOUBLE) AS s3
+  FROM events)"""
+
+
+@query(_features_sql(frame=1000, ctes=_TYPES, source="types", onto=0.3))
+def features_window1000(spark, sf_dir):
+    """Frames of 1,000 rows over four engines, which are cut into blocks of at most 5,000 rows."""
+    panel = _kept(events_panel(spark, sf_dir, engine=F.length("event_type"), max_group_rows=5000), "panel")
+    return _rounded(_event_features(panel, window_rows=1000, max_group_rows=5000), onto=0.3)
+
+
+@query(_features_sql(frame=40, onto=0.3))
+def features_window40(spark, sf_dir):
+    return _rounded(_event_features(events_panel(spark, sf_dir), window_rows=40), onto=0.3)
+
+
+_COSTLY = """
+truth AS (
+  SELECT o_custkey AS id, CAST(count(*) AS INTEGER) AS rul_at_maxcycle
+  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)"""
+
+
+@query(
+    _features_sql(
+        ctes=f"{PANEL}, {_COSTLY}",
+        joins="JOIN truth USING (id)",
+        rul="(rul_at_maxcycle + max(cycle) OVER (PARTITION BY {keys})) - cycle",
+    )
+)
+def features_test_known_only(spark, sf_dir):
+    """Engines without truth, those of customers without an urgent order, drop out."""
+    urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    truth = orders_truth(spark, sf_dir, urgent)
+    return _rounded(_event_features(events_panel(spark, sf_dir), "test", truth=truth))
+
+
+@query(f"""
+WITH {PANEL}
+SELECT id, cycle, max(cycle) OVER (PARTITION BY id) - cycle AS rul,
+       CAST(row_number() OVER (ORDER BY id, cycle) AS INTEGER) AS position
+FROM panel""")
+def features_ordered(spark, sf_dir):
+    """Each row's place in an ordered feature table, numbered in the order in which it was written."""
+    ordered = _event_features(events_panel(spark, sf_dir), ordered=True).select("id", "cycle", "rul")
+    written = _kept(ordered.withColumns({"table": F.lit(0), "place": F.monotonically_increasing_id()}), "ordered")
+    numbered = ordinal(written, ["table"], ["place"], "position", max_group_rows=5000)
+    return numbered.select("id", "cycle", "rul", "position")
 
 
 @query(
@@ -214,7 +280,7 @@ def features_test_split_engines(spark, sf_dir):
     """``features_test`` with long engines cut into blocks."""
     truth = orders_truth(spark, sf_dir)
     panel = events_panel(spark, sf_dir)
-    return _rounded(_event_features(panel, "test", truth=truth, max_group_rows=20, block_width=8))
+    return _rounded(_event_features(panel, "test", truth=truth, max_group_rows=20, block_rows=8))
 
 
 @query(f"WITH {PANEL} SELECT run_id, id, max(cycle) AS last_cycle FROM panel GROUP BY run_id, id")

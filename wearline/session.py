@@ -8,10 +8,14 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
+# Of a value whose width its type does not tell.
+UNKNOWN_BYTES = 1024
 
 SETTINGS = {
     # A value that does not parse, or an integer that overflows, must stop the job.
@@ -63,6 +67,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def checkpointed_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
+    """:func:`checkpointed`, and how many rows meet ``condition``, from the same pass."""
+    seen = Observation()
+    out = checkpointed(df.observe(seen, F.count_if(condition).alias("n")))
+    return out, seen.get["n"]
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a path made by :func:`scratch`."""
     context = spark.sparkContext
@@ -85,11 +96,32 @@ def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> Iterat
         discard(spark, path)
 
 
+def value_bytes(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes up."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(kind, T.StructType):
+        return sum((value_bytes(value[f.name], f.dataType) for f in kind), F.lit(8))
+    if isinstance(kind, T.ArrayType):
+        size = F.greatest(F.size(value), F.lit(0))
+        if isinstance(kind.elementType, (T.NumericType, T.DatetimeType, T.BooleanType)):
+            return 8 * size + 16
+        total = F.aggregate(value, F.lit(16).cast("long"), lambda s, x: s + value_bytes(x, kind.elementType).cast("long"))
+        return F.coalesce(total, F.lit(0).cast("long"))
+    if isinstance(kind, (T.AtomicType, T.NullType)):
+        return F.lit(8)
+    return F.lit(UNKNOWN_BYTES)
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """``df`` hinted for broadcast if it has at most MAX_BROADCAST_ROWS rows, else as it is.
+    """``df`` hinted for broadcast if it has at most MAX_BROADCAST_ROWS rows of MAX_BROADCAST_BYTES in all, else as it is.
 
-    Meant for narrow tables that are cheap to read twice. Past the bound the
+    Meant for tables that are cheap to read twice. Past the bound the
     join shuffles and adaptive execution splits its hot keys.
     """
-    small = df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    return F.broadcast(df) if small else df
+    size = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(16))
+    found = df.limit(MAX_BROADCAST_ROWS + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("bytes")
+    )
+    n, held = found.first()
+    return F.broadcast(df) if n <= MAX_BROADCAST_ROWS and held <= MAX_BROADCAST_BYTES else df
