@@ -74,3 +74,17 @@ def test_orphans_count_before_the_join(spark, child):
     parent = spark.createDataFrame([(2,)], "id int")
     plan = quality.orphans(child, parent, {"k": "id"})._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join LeftAnti") < plan.index("Aggregate")
+
+
+def test_a_key_is_checked_in_one_grouping(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, None), (2, 1, "b")], "id int, cycle int, v string")
+    key = ["id", "cycle"]
+    assert quality.require_key(rows, key, "rows") == 3
+    assert quality.require_key(rows.limit(0), key, "rows", ["v"]) == 0
+    with pytest.raises(quality.ConstraintViolation, match="NULL in {'v': 1}"):
+        quality.require_key(rows, key, "rows", ["v"])
+    with pytest.raises(quality.ConstraintViolation, match="twice"):
+        quality.require_key(rows.unionByName(rows), key, "rows")
+    missing = spark.createDataFrame([(None, 1, "a"), (None, 1, "a")], "id int, cycle int, v string")
+    with pytest.raises(quality.ConstraintViolation, match="NULL in {'id': 2}"):
+        quality.require_key(rows.unionByName(missing), key, "rows")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearline.session import broadcast_if_small, checkpointed, checkpointed_counting
+from wearline.session import broadcast_if_small, checkpointed
 
 MAX_GROUP_ROWS = 1_000_000
 # Cells of a histogram per half block that its rows would fill.
@@ -256,14 +256,13 @@ def _histogram(rows: DataFrame, keys: Sequence[str], cuts: DataFrame, names: Seq
         rows = rows.withColumn("_cell", F.concat("_cell", F.array(F.call_function("div", value, F.col(_WIDTH)))))
         rows = rows.select(*keys, *names, "_cell")
         heavy = (F.col("_n") > half) & _varying(names).isNotNull()
-        counted, left = checkpointed_counting(
-            rows.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"), *_ends(names)), heavy
-        )
+        counted = checkpointed(rows.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"), *_ends(names)))
         light = counted.where(~heavy).drop("_cell")
         done = light if done is None else done.unionByName(light)
-        if not left:
+        cells = counted.where(heavy)
+        if cells.isEmpty():
             return done
-        cuts = _cuts(counted.where(heavy), names, half).select(*keys, "_cell", _AT, _WIDTH)
+        cuts = _cuts(cells, names, half).select(*keys, "_cell", _AT, _WIDTH)
 
 
 def _joined(cells: DataFrame, keys: Sequence[str], names: Sequence[str], half: int) -> DataFrame:

@@ -7,8 +7,9 @@ stored, or turned into an error with :func:`require_empty`.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHOWN = 5
@@ -72,6 +73,34 @@ def require_not_null(df: DataFrame, columns: Sequence[str], message: str) -> int
     return counted["_n"]
 
 
+def require_key(df: DataFrame, key: Sequence[str], message: str, required: Sequence[str] = ()) -> int:
+    """Raise if ``key`` identifies no row or several, or a key or required column has NULLs; returns the rows.
+
+    One grouping by key tells it all; rows are looked up only to name some that are wrong.
+    """
+    required = [c for c in required if c not in key]
+    nulls = {c: F.sum(F.when(F.col(c).isNull(), F.col("_n")).otherwise(0)) for c in key}
+    groups = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in required]
+    )
+    counted = groups.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"),
+        F.count_if((F.col("_n") > 1) & ~_any_null(key)).alias("_repeated"),
+        *[n.alias(c) for c, n in nulls.items()],
+        *[F.sum(c).alias(c) for c in required],
+    ).first()
+    missing = {c: counted[c] for c in (*key, *required) if counted[c]}
+    if missing:
+        raise ConstraintViolation(f"{message}: NULL in {missing}")
+    if counted["_repeated"]:
+        require_empty(duplicate_keys(df, key), f"{message}: key occurs twice")
+    return counted["_n"]
+
+
+def _any_null(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
 def require_rows(df: DataFrame, k: int, purpose: str) -> None:
     """Raise ValueError unless ``df`` has at least ``k`` rows, without counting beyond that."""
     n = df.limit(k).count()
