@@ -65,3 +65,45 @@ def test_secrets_are_replaced_and_all_rows_packed(stages):
 
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, str(TESTDATA)).count() > 0
+
+
+CLASHING = ["_key", "_any", "_verdicts", "_replaced", "_scores", "_print", "_KEY2", "kept", "fp", "number", "is_secret"]
+SECRET = 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"'
+ODD = [
+    (None, None), (1, None), (2, ""), (2, ""), (3, " \n\t "), (4, "long words " * 20_000), (5, "long words " * 20_000),
+    (6, f"plain words here and {SECRET} behind"), (7, "tie"), (8, "tie"), (None, "tie"), (9, "x" * 5000),
+]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_odd_rows_and_clashing_names(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    schema = f"doc_id long, text string, {', '.join(f'`{c}` string' for c in CLASHING)}"
+    rows = [(*r, *(f"{c} of {n}" for c in CLASHING)) for n, r in enumerate(ODD)]
+    odd = spark.createDataFrame(rows, schema)
+    found = stage(spark, odd, str(TESTDATA))
+    if name == "packing":
+        pieces = found.collect()
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in pieces if r.piece == 0) == sorted(
+            (i is None, i or 0) for i, _ in ODD
+        )
+        assert stage(spark, odd.limit(0), str(TESTDATA)).collect() == []
+        return
+    assert found.columns == odd.columns
+    given = {r[2]: r for r in rows}
+    for r in found.collect():
+        before = given[r["_key"]]
+        assert tuple(r)[2:] == before[2:] and r.doc_id == before[0]
+        if name == "secret_scan" and SECRET in (before[1] or ""):
+            assert r.text == before[1].replace("24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "[SECRET]")
+        else:
+            assert r.text == before[1]
+    ids = sorted((r.doc_id is None, r.doc_id or 0) for r in found.collect())
+    if name in ("toxicity", "secret_scan"):
+        assert ids == sorted((i is None, i or 0) for i, _ in ODD)
+    elif name == "exact_dedup":
+        assert ids == [(False, i) for i in (2, 3, 5, 6, 8, 9)]
+    else:
+        # Few words make equal or empty fingerprints; every group keeps its smallest id.
+        assert {i for _, i in ids} <= {1, 4, 6, 7, 9} and (True, 0) not in ids
+    assert stage(spark, odd.limit(0), str(TESTDATA)).collect() == []

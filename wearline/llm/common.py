@@ -84,7 +84,8 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder once and read back.
 
     Cuts the lineage in storage that outlives executors and keeps values such as generated row ids
-    stable for all later uses. The folder goes when the application ends.
+    stable for all later uses. Results may read the copy long after the call, so it stays until whoever owns the
+    shared folder clears it.
     """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
@@ -102,15 +103,28 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.concat_ws(":", ident, F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names like these that ``docs`` has no column of."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """One row of ``docs`` for each ``_key`` (see :func:`row_key`) in ``kept``; same columns.
 
     Both steps need rows of a key together, so the texts move once.
     """
+    (key,) = fresh(docs, "_key")
     return (
-        docs.withColumn("_key", row_key())
-        .join(kept.select("_key").distinct(), "_key", "left_semi")
-        .dropDuplicates(["_key"])
+        docs.withColumn(key, row_key())
+        .join(kept.select(F.col("_key").alias(key)).distinct(), key, "left_semi")
+        .dropDuplicates([key])
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 

@@ -8,7 +8,7 @@ compared from the top: what lies under equal hashes is equal, and the rest locat
 Dice coefficient of their distinct paragraphs, 1 for two empty texts.
 
 NULL text counts as empty: no paragraphs, no sections. A NULL doc_id comes before all others in the order of
-documents; documents with the same id follow each other by text. Repeated rows stay rows. An empty table gives no rows. Other
+documents; documents with the same id follow each other by text. Ids are numbers: their order is cut at percentiles. Repeated rows stay rows. An empty table gives no rows. Other
 columns are ignored.
 """
 

@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearline.llm.common import load, materialised, row_key
+from wearline.llm.common import fresh, load, materialised, row_key
 
 BEFORE, AFTER = 48, 32
 REDACTED = "[SECRET]"
@@ -231,21 +231,22 @@ def scan(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
 def redacted(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """``docs`` with each secret replaced by a mark; rows and other columns as given."""
-    verdicts = scan(docs, labels).groupBy("_key").agg(
-        F.max("is_secret").alias("_any"), F.array_sort(F.collect_set(F.struct("number", "is_secret"))).alias("_verdicts")
+    key, found, secrets = fresh(docs, "_key", "_verdicts", "_replaced")
+    verdicts = scan(docs, labels).groupBy(F.col("_key").alias(key)).agg(
+        F.max("is_secret").alias("_any"), F.array_sort(F.collect_set(F.struct("number", "is_secret"))).alias(found)
     )
     text = F.col("text")
     replaced = F.transform(
         F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
-        lambda c, i: F.when(F.get("_verdicts", i)["is_secret"], F.lit(REDACTED)).otherwise(c),
+        lambda c, i: F.when(F.get(found, i)["is_secret"], F.lit(REDACTED)).otherwise(c),
     )
     between = F.split(text, CANDIDATE, -1)
-    whole = F.array_join(F.flatten(F.transform(between, lambda b, i: F.array(b, F.get("_replaced", i)))), "")
+    whole = F.array_join(F.flatten(F.transform(between, lambda b, i: F.array(b, F.get(secrets, i)))), "")
     return (
-        docs.withColumn("_key", row_key())
-        .join(verdicts.where("_any"), "_key", "left")
-        .withColumn("_replaced", F.when(F.col("_any"), replaced))
-        .withColumn("text", F.when(F.col("_any"), whole).otherwise(text))
+        docs.withColumn(key, row_key())
+        .join(verdicts.where("_any").drop("_any"), key, "left")
+        .withColumn(secrets, F.when(F.col(found).isNotNull(), replaced))
+        .withColumn("text", F.when(F.col(found).isNotNull(), whole).otherwise(text))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 

@@ -3,10 +3,13 @@
 Categories are predicted one after the other, and each model sees, besides the text's features, the probabilities of
 the categories before it. For training these come from models that did not see the row (out of fold), as they will when
 scoring. Features are words and beginnings of words that toxic training rows hold more often than clean ones, counted
-over all labelled training rows; the linear models are fitted on a bounded sample of them.
+over all labelled training rows; of words longer than ``LONGEST`` letters the first ones count. The linear models are
+fitted on a bounded sample of the rows.
 
 The labels give one category, ``toxic``. Two more come before it, derived from the labelled rows: ``abusive`` (toxic,
-with a telling feature) and ``dense`` (toxic, with several). A caller with more label columns names them instead.
+with a telling feature) and ``dense`` (toxic, with several). They say no more than the label and the features do, and the
+features are chosen before the folds are cut, so without further label columns the chain is one classifier in three
+steps. A caller with more label columns names them instead.
 
 NULL text counts as empty, and a text without features gets the models' base rates. Labels that are NULL or whose
 document is missing are not used; of equal texts with equal labels one is used. Without a single toxic or clean training row, all probabilities are 0. Repeated rows and NULL ids
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.llm.columns import PUNCTUATION, words
-from wearline.llm.common import by_column, by_task, load, materialised, ready
+from wearline.llm.common import by_column, by_task, fresh, load, materialised, ready
 from wearline.session import broadcast_if_small
 
 # Features kept, and least number of toxic rows that hold one.
@@ -39,6 +42,7 @@ LEAST_LIFT = 3.0
 SAMPLE = 8192
 FOLDS = 4
 BEGINNINGS = (4, 5)
+LONGEST = 40
 # Features that would look as telling by chance alone.
 BY_CHANCE = 1.0
 # Features that make a toxic text a dense one.
@@ -47,11 +51,11 @@ THRESHOLD = 0.5
 
 
 def features_of(word: str) -> list[str]:
-    """The word without punctuation around it, and its first letters marked as such."""
+    """The word without punctuation around it, long ones by their first letters, and its first letters marked as such."""
     plain = word.strip(PUNCTUATION)
-    if not plain or len(plain) > 40:
+    if not plain:
         return []
-    return [plain, *("^" + plain[:n] for n in BEGINNINGS if len(plain) > n)]
+    return [plain[:LONGEST], *("^" + plain[:n] for n in BEGINNINGS if len(plain) > n)]
 
 
 def _sets(texts: pa.Array) -> Iterator[set[str]]:
@@ -215,9 +219,10 @@ def scored(docs: DataFrame, chain: Chain, text: str = "text") -> Column:
 
 def kept_documents(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those that the chain calls toxic; columns as given."""
+    (scores,) = fresh(docs, "_scores")
     return (
-        docs.withColumn("_scores", scored(docs, chain))
-        .where(F.col("_scores.p_toxic") < threshold)
+        docs.withColumn(scores, scored(docs, chain))
+        .where(F.col(scores)["p_toxic"] < threshold)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 
