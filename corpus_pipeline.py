@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. A
 stage works on what the one before it kept, written as Parquet and read again.
+
+NULL text counts as empty in every stage: it is not toxic, equals other empty texts, and ends as one id. A NULL id is an id
+like any other: of equal texts, or near ones, a row with an id goes before one without; rows that are equal in
+id and text count as one. Further columns, whatever their names, come back as they were from all stages but the last. An empty
+table stays empty.
 """
 
 from __future__ import annotations
