@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 
+from wearline.operators import opmodes
 from wearline.operators.features import build_features
 from wearline.operators.opmodes import OpModeModel, fit_op_modes, nearest_centre
 
@@ -44,26 +45,65 @@ def test_same_seed_same_model(points, model):
     assert sorted(again.assign(points).collect()) == sorted(model.assign(points).collect())
 
 
+@pytest.mark.parametrize("partitions", ["1", "13"])
+def test_same_model_for_any_spread(spark, points, model, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        again = fit_op_modes(points.repartition(int(partitions) + 1))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert again.centres == model.centres and again.cost == model.cost
+
+
+def test_all_fits_share_their_passes(points, monkeypatch):
+    passes = []
+    moved = opmodes._moved
+    monkeypatch.setattr(opmodes, "_moved", lambda *args: passes.append(1) or moved(*args))
+    one = fit_op_modes(points, restarts=1)
+    alone = len(passes)
+    passes.clear()
+    many = fit_op_modes(points, restarts=10)
+    assert len(passes) < 4 * alone
+    assert many.cost <= one.cost
+
+
+def test_centres_are_the_means_of_their_points(points, model):
+    rows = model.transform(points).groupBy("operationmode").avg("setting1", "setting2", "setting3").collect()
+    for r in rows:
+        np.testing.assert_allclose(r[1:], model.centres[r.operationmode], rtol=1e-9)
+
+
+def test_settings_must_be_numbers(spark, model):
+    schema = "id int, cycle int, setting1 double, setting2 double, setting3 double"
+    for bad in (None, float("nan")):
+        rows = spark.createDataFrame([(1, 1, bad, 0.0, 0.0), *[(1, c, float(c), 0.0, 0.0) for c in range(2, 9)]], schema)
+        with pytest.raises(ValueError, match="NULLs or NaNs"):
+            fit_op_modes(rows)
+        with pytest.raises(Exception, match="must not be NULL or NaN"):
+            model.transform(rows).collect()
+
+
 def test_repeated_points_weigh_as_rows(spark, points):
     tripled = points.unionByName(points).unionByName(points)
     merged = fit_op_modes(tripled, restarts=2)
     assert merged.cost == pytest.approx(3 * fit_op_modes(points, restarts=2).cost)
 
 
-def test_save_and_load(points, model, tmp_path):
+def test_save_and_load(spark, points, model, tmp_path):
     path = str(tmp_path / "nested" / "modes")
     model.save(path)
-    loaded = OpModeModel.load(path)
+    loaded = OpModeModel.load(spark, path)
     assert loaded.settings == model.settings == ("setting1", "setting2", "setting3")
     assert sorted(loaded.assign(points).collect()) == sorted(model.assign(points).collect())
 
 
-def test_load_of_something_else(points, tmp_path):
+def test_load_of_something_else(spark, points, tmp_path):
     path = str(tmp_path / "other")
     stage = VectorAssembler(inputCols=["setting1"], outputCol="v")
     PipelineModel(stages=[stage]).save(path)
     with pytest.raises(TypeError, match="VectorAssembler"):
-        OpModeModel.load(path)
+        OpModeModel.load(spark, path)
 
 
 def test_too_few_rows(points):

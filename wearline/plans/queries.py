@@ -652,24 +652,39 @@ def _flag_settings(spark, sf_dir):
 
 
 @query("""
-SELECT l_returnflag, l_linestatus, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_modes, CAST(1 AS BIGINT) AS n_corners_of_mode
-FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+WITH points AS (
+  SELECT l_returnflag, l_linestatus,
+         CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 10 ELSE 20 END + CAST(l_discount AS DOUBLE) AS x,
+         CASE l_linestatus WHEN 'F' THEN 0 ELSE 10 END + CAST(l_tax AS DOUBLE) AS y
+  FROM lineitem),
+corners AS (
+  SELECT l_returnflag, l_linestatus, count(*) AS n_rows, avg(x) AS x, avg(y) AS y,
+         var_pop(x) * count(*) + var_pop(y) * count(*) AS squares
+  FROM points GROUP BY l_returnflag, l_linestatus)
+SELECT l_returnflag, l_linestatus, n_rows, CAST(1 AS BIGINT) AS n_modes, CAST(1 AS BIGINT) AS n_corners_of_mode,
+       floor(x * 1e6 + 0.3) / 1e6 AS centre1, floor(y * 1e6 + 0.3) / 1e6 AS centre2, CAST(100 AS DOUBLE) AS centre3,
+       floor(sum(squares) OVER () * 1e4 + 0.3) / 1e4 AS cost
+FROM corners""")
 def modes_fitted(spark, sf_dir):
-    """Six modes fitted to six clouds: each cloud gets one mode and each mode one cloud."""
+    """Modes fitted to clouds of points: each cloud gets one mode, its centre is the cloud's mean, and the cost is what is left."""
     rows = _flag_settings(spark, sf_dir)
-    model = fit_op_modes(rows)
     corner = ["l_returnflag", "l_linestatus"]
+    model = fit_op_modes(rows)
     counts = model.transform(rows).groupBy(*corner, "operationmode").agg(F.count(F.lit(1)).alias("n"))
     shared = counts.groupBy("operationmode").agg(F.count(F.lit(1)).alias("n_corners"))
-    return (
+    found = (
         counts.join(shared, "operationmode")
         .groupBy(*corner)
         .agg(
             F.sum("n").alias("n_rows"),
             F.count(F.lit(1)).alias("n_modes"),
             F.max("n_corners").alias("n_corners_of_mode"),
+            F.max_by("operationmode", "n").alias("mode"),
         )
     )
+    centre = F.get(F.array(*[F.array(*map(F.lit, c)) for c in model.centres]), F.col("mode").cast("int"))
+    found = found.withColumns({f"centre{j + 1}": F.floor(F.get(centre, F.lit(j)) * 1e6 + 0.3) / 1e6 for j in range(3)})
+    return found.drop("mode").withColumn("cost", F.floor(F.lit(model.cost) * 1e4 + 0.3) / 1e4)
 
 
 # --- models -----------------------------------------------------------------------------
