@@ -1,9 +1,9 @@
 from __future__ import annotations
 
+import math
 import sys
 from pathlib import Path
 
-import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
@@ -65,20 +65,18 @@ def readings(spark):
     return spark.createDataFrame(rows, schema.READINGS)
 
 
-def clouds_frame(per_class: int = 60, seed: int = 0) -> pd.DataFrame:
-    """Three well separated classes in the columns of a feature table."""
-    rng = np.random.default_rng(seed)
-    classes = np.repeat([0, 1, 2], per_class)
-    centres = np.array([0.1, 0.5, 0.9])[classes]
-    n = len(classes)
-    frame = {"id": np.arange(1, n + 1), "cycle": np.ones(n, dtype="int64")}
-    frame.update({s: np.zeros(n) for s in schema.SETTINGS})
-    frame.update({f"a{j}": centres + rng.normal(0, 0.02, n) for j in range(1, 22)})
-    frame.update({f"sd{j}": np.zeros(n) for j in range(1, 22)})
-    frame["rul"] = np.full(n, 10)
-    frame["label1"] = (classes >= 1).astype("int64")
-    frame["label2"] = classes
-    return pd.DataFrame(frame)
+def clouds_frame(per_class: int = 60) -> pd.DataFrame:
+    """A feature table of three classes: engines that run cool, warm and hot, each a little off its level."""
+    levels = {0: 20.0, 1: 50.0, 2: 95.0}
+    columns = [*schema.SETTINGS, *[f"{p}{j}" for p in ("a", "sd") for j in range(1, 22)]]
+    rows = []
+    for place in range(3 * per_class):
+        # Classes take turns, so that no slice of the table holds one alone.
+        label = place % 3
+        off = [math.sin(1 + place * 2.4 + j * 0.7) for j in range(21)]
+        measured = [levels[label] + 2 * x for x in off]
+        rows.append((place + 1, 1, 1.0, 2.0, 3.0, *measured, *[0.5] * 21, 10, int(label > 0), label))
+    return pd.DataFrame(rows, columns=["id", "cycle", *columns, "rul", "label1", "label2"])
 
 
 @pytest.fixture(scope="session")

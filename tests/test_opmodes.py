@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -9,22 +11,32 @@ from wearline.operators import opmodes
 from wearline.operators.features import build_features
 from wearline.operators.opmodes import OpModeModel, fit_op_modes, nearest_centre
 
-CENTRES = [(0, 0, 100), (10, 0, 100), (0, 10, 100), (10, 10, 100), (5, 5, 90), (5, 5, 110)]
+# Six settings an engine is run at, far apart in at least one of three dials.
+LEVELS = [(2, 40, 7), (2, 40, 90), (30, 40, 7), (30, 5, 7), (61, 5, 90), (61, 70, 50)]
 
 
 @pytest.fixture(scope="module")
 def points(spark):
-    rng = np.random.default_rng(0)
     rows = []
-    for true_mode, centre in enumerate(CENTRES):
-        for _ in range(5):
-            settings = np.array(centre) + rng.normal(0, 0.01, 3)
-            rows.append((len(rows) + 1, 1, *map(float, settings), true_mode))
+    for true_mode, level in enumerate(LEVELS):
+        for step in range(5):
+            settings = [x + 0.02 * math.cos(step + true_mode + 3 * j) for j, x in enumerate(level)]
+            rows.append((len(rows) + 1, 1, *settings, true_mode))
     return spark.createDataFrame(
         rows, "id int, cycle int, setting1 double, setting2 double, setting3 double, true_mode int"
     )
 
 
+def spread_around_means(points) -> float:
+    """The sum of squared distances of all points from the means of their true modes."""
+    rows = points.collect()
+    total = 0.0
+    for mode in range(len(LEVELS)):
+        mine = np.array([tuple(r)[2:5] for r in rows if r.true_mode == mode])
+        total += ((mine - mine.mean(axis=0)) ** 2).sum()
+    return total
+
+
 @pytest.fixture(scope="module")
 def model(points):
     return fit_op_modes(points)
@@ -36,7 +48,7 @@ def test_recovers_separated_clusters(points, model):
     modes = {t: {r.operationmode for r in rows if r.true_mode == t} for t in range(6)}
     assert all(len(m) == 1 for m in modes.values())
     assert len(set.union(*modes.values())) == 6
-    assert model.cost == pytest.approx(0.00725, abs=1e-4)
+    assert model.cost == pytest.approx(spread_around_means(points))
 
 
 def test_same_seed_same_model(points, model):

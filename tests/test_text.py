@@ -19,18 +19,12 @@ def line(*head, sensors=21, scale=1.0):
     return " ".join(map(str, [*head, *[scale * j for j in range(1, sensors + 1)]]))
 
 
-def test_three_rows(spark, tmp_path):
-    text = "\n".join(
-        [
-            line(1, 1, 0.0023, 0.0003, 100.0),
-            line(1, 2, 0.001, -0.0001, 100.0, scale=1.1),
-            line(2, 1, -0.002, 0.0002, 100.0, scale=0.9),
-        ]
-    )
-    rows = scan(spark, tmp_path, text + "\n").collect()
-    assert [(r.id, r.cycle) for r in rows] == [(1, 1), (1, 2), (2, 1)]
-    assert tuple(rows[0])[5:] == tuple(float(j) for j in range(1, 22))
-    assert list(rows[0].asDict()) == list(READING_COLUMNS)
+def test_rows_of_two_engines(spark, tmp_path):
+    heads = [(7, 1, 12.5, -0.75, 60.0), (7, 2, 12.75, 0.5, 60.0), (11, 1, -3.0, 1.0, 60.0)]
+    text = "".join(line(*head, scale=k) + "\n" for k, head in enumerate(heads, start=1))
+    rows = sorted(map(tuple, scan(spark, tmp_path, text).collect()))
+    assert rows == [(*h, *[float(k * j) for j in range(1, 22)]) for k, h in enumerate(heads, start=1)]
+    assert scan(spark, tmp_path, text).columns == list(READING_COLUMNS)
 
 
 def test_trailing_spaces_and_surplus_fields(spark, tmp_path):
@@ -41,8 +35,8 @@ def test_trailing_spaces_and_surplus_fields(spark, tmp_path):
 
 
 def test_signed_and_scientific(spark, tmp_path):
-    row = scan(spark, tmp_path, "1 1 -0.0023 1.5e-3 100.0 " + " ".join(["1.0"] * 21)).first()
-    assert (row.setting1, row.setting2, row.setting3) == (-0.0023, 0.0015, 100.0)
+    row = scan(spark, tmp_path, "4 9 -41.5 2.25E2 +0.5 " + " ".join(["7"] * 21)).first()
+    assert (row.setting1, row.setting2, row.setting3) == (-41.5, 225.0, 0.5)
 
 
 def test_short_line_is_padded(spark, tmp_path):
@@ -98,14 +92,14 @@ def truth(spark, path):
 
 def test_truth_ids_are_line_numbers(spark, tmp_path):
     path = tmp_path / "rul.txt"
-    path.write_text("112\n98\n69\n82\n")
-    assert truth(spark, path) == [(1, 112), (2, 98), (3, 69), (4, 82)]
+    path.write_text("31\n7\n250\n")
+    assert truth(spark, path) == [(1, 31), (2, 7), (3, 250)]
 
 
 def test_truth_spaces_and_blank_line(spark, tmp_path):
     path = tmp_path / "rul.txt"
-    path.write_text(" 112\n\n98 \n")
-    assert read_truth_text(spark, str(path)).orderBy("id").collect() == [(1, 112), (2, None), (3, 98)]
+    path.write_text(" 31\n\n7 \n")
+    assert read_truth_text(spark, str(path)).orderBy("id").collect() == [(1, 31), (2, None), (3, 7)]
 
 
 def test_truth_of_many_splits_and_files(spark, tmp_path):

@@ -65,6 +65,13 @@ def wide_panel(spark: SparkSession, sf_dir: str, sensors: int = 21) -> DataFrame
     return panel.select("run_id", "id", "cycle", *EVENT_SETTINGS, *made)
 
 
+def worn_panel(spark: SparkSession, sf_dir: str, sensors: int = 21) -> DataFrame:
+    """The events panel with its own three sensors, of which the last wears on, and mixtures of the first two as the others."""
+    panel = events_panel(spark, sf_dir)
+    made = [(F.col("s1") + j * F.col("s2")).alias(f"s{j}") for j in range(len(EVENT_SENSORS) + 1, sensors + 1)]
+    return panel.select("run_id", "id", "cycle", *EVENT_SETTINGS, *EVENT_SENSORS, *made)
+
+
 def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``run_id, id, cycle, price``: customers over their order numbers."""
     return table(spark, sf_dir, "orders").select(

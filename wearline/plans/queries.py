@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.classification import LinearSVC
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,9 @@ from wearline.operators.scoring import evaluate, score
 from wearline.operators.split import HELD_OUT, stratified_split
 from wearline.operators.training import (
     TrainResult,
+    prepared,
     ranges,
+    train_classifier,
     train_logistic_regression,
     train_random_forest,
 )
@@ -31,7 +34,9 @@ from wearline.plans.panels import (
     sensor_lines,
     table,
     wide_panel,
+    worn_panel,
 )
+from wearline.schema import SENSORS
 from wearline.session import configure, scratch
 from wearline.sources.registry import load_model, save_model
 from wearline.sources.tables import Tables
@@ -201,8 +206,11 @@ def features_modes_left_join(spark, sf_dir):
     return _rounded(_event_features(panel, op_modes=modes))
 
 
-@query(_features_sql(sensors=21, ctes=f"""{PANEL}, wide AS (SELECT run_id, id, cycle, setting1, setting2, setting3,
-  {", ".join(f"s1 + {j} * s2 AS s{j}" for j in range(1, 22))} FROM panel)""", source="wide"))
+_WIDE = f"""{PANEL}, wide AS (SELECT run_id, id, cycle, setting1, setting2, setting3,
+  {", ".join(f"s1 + {j} * s2 AS s{j}" for j in range(1, 22))} FROM panel)"""
+
+
+@query(_features_sql(sensors=21, ctes=_WIDE, source="wide"))
 def features_21_sensors(spark, sf_dir):
     panel = wide_panel(spark, sf_dir)
     return _rounded(build_features(panel, "train", run_id="ev"), sensors=21)
@@ -330,9 +338,14 @@ def _through_text(spark, sf_dir, files="", **options):
     return read_sensor_text(spark, out + files).select("id", "cycle", *EVENT_SETTINGS, *EVENT_SENSORS, "s4")
 
 
-@query(_TEXT_SQL)
+@query(f"""
+WITH {_WIDE}
+SELECT CAST(id AS INTEGER) AS id, cycle, setting1, setting2, setting3, {", ".join(SENSORS)} FROM wide""")
 def sensor_text_roundtrip(spark, sf_dir):
-    return _through_text(spark, sf_dir)
+    """All 26 columns of a log."""
+    out = scratch(spark, "sensor-log")
+    sensor_lines(wide_panel(spark, sf_dir), SENSORS).write.text(out)
+    return read_sensor_text(spark, out)
 
 
 @query(_TEXT_SQL)
@@ -425,10 +438,48 @@ def upsert_runs(spark, sf_dir):
     return catalogue.upsert(stored, incoming, "run_id", ["source_uri"])
 
 
+def _deployed(spark, sf_dir) -> Tables:
+    """The events panel as five runs of a deployment."""
+    tables = Tables(spark, scratch(spark, "deployment"))
+    panel = _kept(runs_panel(spark, sf_dir), "panel")
+    missing = {s: F.lit(None).cast("double") for s in SENSORS if s not in EVENT_SENSORS}
+    tables.append_readings(panel.withColumns({"id": F.col("id").cast("int"), **missing}))
+    for (run_id,) in panel.select("run_id").distinct().collect():
+        tables.upsert_run(run_id, "events", "train", f"events/{run_id}")
+    return tables
+
+
 @query(f"""
-WITH {PANEL} SELECT event_type AS run_id, id, cycle, s1 FROM panel
+WITH {PANEL} SELECT event_type AS run_id, CAST(id AS INTEGER) AS id, cycle, s1 FROM panel
 WHERE event_type NOT IN (SELECT event_type FROM events GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 1)""")
 def delete_run(spark, sf_dir):
+    """What readers of a deployment see once its largest run is deleted."""
+    tables = _deployed(spark, sf_dir)
+    sizes = tables.readings().groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+    tables.delete_run(sizes.orderBy(F.desc("n"), "run_id").first()["run_id"])
+    return tables.readings().select("run_id", "id", "cycle", "s1")
+
+
+@query(f"""
+WITH {PANEL}
+SELECT event_type AS run_id, 'events' AS dataset, 'train' AS kind,
+       CASE event_type WHEN 'view' THEN 'again' ELSE 'events/' || event_type END AS source_uri,
+       count(*) AS n_rows, count(DISTINCT id) AS n_engines
+FROM panel GROUP BY event_type""")
+def runs_listed(spark, sf_dir):
+    """The runs of a deployment; one was listed again from another source."""
+    tables = _deployed(spark, sf_dir)
+    tables.upsert_run("view", "other", "test", "again")
+    rows = tables.readings().groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_engines")
+    )
+    return tables.runs().drop("ingested_at").join(rows, "run_id")
+
+
+@query(f"""
+WITH {PANEL} SELECT event_type AS run_id, id, cycle, s1 FROM panel
+WHERE event_type NOT IN (SELECT event_type FROM events GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 1)""")
+def rows_without_largest_run(spark, sf_dir):
     """All runs but the largest."""
     panel = runs_panel(spark, sf_dir)
     sizes = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("run_id")).count()
@@ -696,9 +747,9 @@ labelled AS (
 
 
 def _stored_features(spark, sf_dir) -> DataFrame:
-    """The events feature table, written once: training passes over it several times."""
+    """The feature table of all 24 measured columns (66 features), as a job stores it."""
     out = scratch(spark, "features")
-    jobs.write_features(_event_features(events_panel(spark, sf_dir)), out)
+    jobs.write_features(build_features(worn_panel(spark, sf_dir), "train", run_id="ev"), out)
     return spark.read.parquet(out)
 
 
@@ -729,7 +780,7 @@ def _training_report(spark, result: TrainResult) -> DataFrame:
 @query(_TRAINED)
 def train_rf(spark, sf_dir):
     features = _stored_features(spark, sf_dir)
-    result = train_random_forest(features, n_estimators=20, val_fraction=0.2)
+    result = train_random_forest(features, val_fraction=0.2)
     return _training_report(spark, result)
 
 
@@ -771,13 +822,13 @@ def registry_roundtrip(spark, sf_dir):
     tables = Tables(spark, scratch(spark, "registry"))
     tables.upsert_run("ev", "events", "train", "events")
     features = _stored_features(spark, sf_dir)
-    result = train_random_forest(features, n_estimators=5, max_depth=4)
+    result = train_random_forest(features)
     model_id = save_model(
         tables,
         result.model,
         name="rf",
         algo="random_forest",
-        params={"n_estimators": 5, "max_depth": 4, "label": "label2"},
+        params={"n_estimators": 100, "max_depth": 10, "label": "label2"},
         metrics=result.metrics,
         trained_on="ev",
     )
@@ -801,7 +852,7 @@ def registry_roundtrip(spark, sf_dir):
 WITH {_LABELLED} SELECT label2 AS label, count(*) AS support, TRUE AS accuracy_agrees FROM labelled GROUP BY label2""")
 def evaluate_model(spark, sf_dir):
     features = _stored_features(spark, sf_dir)
-    model = train_random_forest(features, n_estimators=5, max_depth=4).model
+    model = train_random_forest(features).model
     summary = evaluate(model, features)
     direct = score(model, features).agg(
         F.avg((F.col("y_true") == F.col("label_pred")).cast("double")).alias("direct")
@@ -841,16 +892,91 @@ def jobs_end_to_end(spark, sf_dir):
         spark, tables, run_id="ev", dataset="events", kind="train", path=f"{root}/log"
     )
     n["truth"] = jobs.ingest_truth(spark, tables, run_id="ev", path=f"{root}/rul")
-    jobs.train_op_modes(tables, run_id="ev", out=f"{root}/modes", k=4)
+    jobs.train_op_modes(tables, run_id="ev", out=f"{root}/modes")
     n["features"], _ = jobs.features(
         tables, run_id="ev", kind="train", out=f"{root}/features", op_modes_model=f"{root}/modes"
     )
     n["test features"], _ = jobs.features(tables, run_id="ev", kind="test", out=f"{root}/test")
     trained = jobs.train_lr(
-        tables, features=f"{root}/features", out=f"{root}/lr", register=True, trained_on="ev", max_iter=20
+        tables, features=f"{root}/features", out=f"{root}/lr", register=True, trained_on="ev"
     )
     where = {"model_id": trained.model_id, "features": f"{root}/features"}
     n["evaluated"] = jobs.evaluate_model(tables, **where, out=f"{root}/metrics.json")["n"]
     n["predicted"] = jobs.predict(tables, **where, run_id="ev", out=f"{root}/scores").n_written
     n["predicted again"] = jobs.predict(tables, **where, run_id="ev").n_written
     return spark.createDataFrame(list(n.items()), "stage string, n long")
+
+
+@query(f"""
+WITH {PANEL}, n AS (SELECT count(*) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS held FROM panel)
+SELECT 'trained' AS stage, n - held AS n FROM n UNION ALL SELECT 'held out', held FROM n
+UNION ALL SELECT 'saved metrics, train', n - held FROM n UNION ALL SELECT 'saved metrics, val', held FROM n
+UNION ALL SELECT 'written evaluation', n FROM n UNION ALL SELECT 'predicted', n FROM n
+UNION ALL SELECT 'wide rows that agree', n FROM n UNION ALL SELECT 'right as evaluated', 1 FROM n""")
+def jobs_random_forest(spark, sf_dir):
+    """Train, evaluate and predict jobs of a random forest, by what they left in files and tables."""
+    root = scratch(spark, "forest")
+    tables = Tables(spark, f"{root}/tables")
+    tables.upsert_run("ev", "events", "train", "events")
+    features = _stored_features(spark, sf_dir).inputFiles()[0].rpartition("/")[0]
+    job = jobs.train_rf(tables, features=features, out=f"{root}/rf", register=True, trained_on="ev")
+    where = {"model_id": job.model_id, "features": features}
+    jobs.evaluate_model(tables, **where, out=f"{root}/metrics.json")
+    written = jobs.predict(tables, **where, run_id="ev", out=f"{root}/wide").n_written
+    saved = spark.read.json(f"{root}/rf.metrics.json", multiLine=True).first()
+    summary = spark.read.json(f"{root}/metrics.json", multiLine=True).first()
+    stored = tables.predictions(str(job.model_id), "ev").join(spark.read.parquet(f"{root}/wide"), ["id", "cycle", "label_pred"])
+    classes = job.result.model.classes
+    same = [F.col(f"proba_{c}") == F.col("proba")[str(c)] for c in classes]
+    agree = stored.where(F.array_min(F.array(*[s.cast("int") for s in same])) == 1).count()
+    truth = spark.read.parquet(features).select("id", "cycle", "label2")
+    right = tables.predictions(str(job.model_id), "ev").join(truth, ["id", "cycle"])
+    accuracy = right.agg(F.avg((F.col("label_pred") == F.col("label2")).cast("double"))).first()[0]
+    rows = {
+        "trained": job.result.n_train,
+        "held out": job.result.n_val,
+        "saved metrics, train": saved.train.n,
+        "saved metrics, val": saved.val.n,
+        "written evaluation": summary.n,
+        "predicted": written,
+        "wide rows that agree": agree,
+        "right as evaluated": int(abs(accuracy - summary.accuracy) < 1e-9),
+    }
+    return spark.createDataFrame(list(rows.items()), "stage string, n long")
+
+
+@query(f"""
+WITH {PANEL}
+SELECT event_type AS run_id, CAST(id AS INTEGER) AS id, cycle, TRUE AS known_label, TRUE AS sums_to_one FROM panel""")
+def predict_several_runs(spark, sf_dir):
+    """Stored predictions of five runs, scored at once."""
+    tables = Tables(spark, scratch(spark, "runs"))
+    panel = _kept(runs_panel(spark, sf_dir), "panel")
+    for (run_id,) in panel.select("run_id").distinct().collect():
+        tables.upsert_run(run_id, "events", "train", None)
+    features = scratch(spark, "features")
+    _event_features(panel, run_id=None).write.parquet(features)
+    job = jobs.train_lr(tables, features=features, register=True, trained_on="view")
+    jobs.predict(tables, model_id=job.model_id, features=features, run_id=None)
+    total = F.aggregate(F.map_values("proba"), F.lit(0.0), lambda s, x: s + x)
+    return tables.predictions(str(job.model_id)).select(
+        "run_id",
+        "id",
+        "cycle",
+        F.col("label_pred").isin(list(job.result.model.classes)).alias("known_label"),
+        (F.abs(total - 1) < 1e-6).alias("sums_to_one"),
+    )
+
+
+@query(f"""
+WITH {_LABELLED}
+SELECT id, cycle::BIGINT AS cycle, CASE WHEN label2 > 0 THEN 1 ELSE 0 END::BIGINT AS y_true,
+       TRUE AS no_proba, TRUE AS known_label
+FROM labelled""")
+def predict_without_probabilities(spark, sf_dir):
+    """Scores of a classifier that has no probabilities: they are NULL."""
+    features = _stored_features(spark, sf_dir)
+    model = train_classifier(features, prepared(LinearSVC(maxIter=50)), label="label1").model
+    return score(model, features, label="label1").select(
+        "id", "cycle", "y_true", F.col("proba").isNull().alias("no_proba"), F.col("label_pred").isin(0, 1).alias("known_label")
+    )

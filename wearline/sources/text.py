@@ -15,21 +15,23 @@ _SUFFIXED = r"[0-9.][dDfF](?: |$)"
 _SUFFIXED_FIELD = r"^(?:[^ ]* ){0,%d}[^ ]*[0-9.][dDfF](?: |$)" % (len(READING_COLUMNS) - 1)
 
 
-def _strict(token: Column, value: Column, kind: str) -> Column:
-    """``value``, but a token that has none stops the job, whatever the session's ANSI setting."""
-    number = token.try_cast("double").isNotNull()
-    reason = F.when(number, F.lit("[CAST_OVERFLOW]")).otherwise(F.lit("[CAST_INVALID_INPUT]"))
-    message = F.concat(reason, F.lit(f" not a value of type {kind}: "), token)
-    return F.when(token.isNotNull() & value.isNull(), F.raise_error(message).cast(kind)).otherwise(value)
+def _integer_of(number: Column) -> Column:
+    """Integer value of a number; fractions round half away from zero."""
+    return F.round(number).try_cast("int")
 
 
-def _double(token: Column) -> Column:
-    return _strict(token, token.try_cast("double"), "double")
+def _problem(token: Column, value: Column, kind: str) -> Column:
+    """What is wrong with a token that has no value."""
+    number = token.try_cast("double").isNotNull()
+    reason = F.when(number, F.lit("[CAST_OVERFLOW]")).otherwise(F.lit("[CAST_INVALID_INPUT]"))
+    return F.when(token.isNotNull() & value.isNull(), F.concat(reason, F.lit(f" not a value of type {kind}: "), token))
 
 
 def _integer(token: Column) -> Column:
-    """Integer value of a numeric token; fractions round half away from zero."""
-    return _strict(token, F.round(token.try_cast("double")).try_cast("int"), "int")
+    """Integer value of a token; one that has none stops the job, whatever the session's ANSI setting."""
+    value = _integer_of(token.try_cast("double"))
+    problem = _problem(token, value, "int")
+    return F.when(problem.isNotNull(), F.raise_error(problem).cast("int")).otherwise(value)
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -49,20 +51,26 @@ def parse_sensor_lines(lines: DataFrame) -> DataFrame:
     lines are skipped, and a field that is no number stops the job.
     """
     suffixed = F.col("value").rlike(_SUFFIXED) & F.col("value").rlike(_SUFFIXED_FIELD)
-    checked = F.when(
-        suffixed, F.raise_error(F.concat(F.lit("not a sensor line: "), F.col("value")))
-    ).otherwise(F.col("value"))
+    n = len(READING_COLUMNS)
     fields = lines.where(F.col("value") != "").select(
-        F.split(checked, " ", len(READING_COLUMNS) + 1).alias("f")
+        "value", suffixed.alias("_suffixed"), F.split("value", " ", n + 1).alias("_f")
     )
 
     def field(i: int) -> Column:
-        return F.nullif(F.get("f", F.lit(i)), F.lit(""))
-
-    return fields.select(
-        *[_integer(field(i)).alias(name) for i, name in enumerate(READING_COLUMNS[:2])],
-        *[_double(field(i)).alias(name) for i, name in enumerate(READING_COLUMNS[2:], start=2)],
-    )
+        return F.nullif(F.get("_f", F.lit(i)), F.lit(""))
+
+    # Each token is read once; how many tokens and values a line has tells whether one of them is wrong.
+    numbers = {name: field(i).try_cast("double") for i, name in enumerate(READING_COLUMNS)}
+    numbers |= {name: _integer_of(numbers[name]) for name in READING_COLUMNS[:2]}
+    rows = fields.withColumns(numbers)
+    tokens = F.size(F.array_remove(F.slice("_f", 1, n), ""))
+    values = sum((F.col(c).isNotNull().cast("int") for c in READING_COLUMNS[1:]), F.col(READING_COLUMNS[0]).isNotNull().cast("int"))
+    kinds = ["int"] * 2 + ["double"] * (n - 2)
+    problems = [_problem(field(i), F.col(c), k) for i, (c, k) in enumerate(zip(READING_COLUMNS, kinds, strict=True))]
+    message = F.when(F.col("_suffixed"), F.concat(F.lit("not a sensor line: "), F.col("value"))).otherwise(F.coalesce(*problems))
+    good = F.when(F.col("_suffixed") | (tokens != values), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    # A condition on the line, so that columns nobody asks for are checked as well.
+    return rows.where(good).select(*READING_COLUMNS)
 
 
 def read_sensor_text(spark: SparkSession, path: str) -> DataFrame:
