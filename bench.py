@@ -23,6 +23,8 @@ HEADLINE = [
     "features_train",
     "features_test",
     "features_window10",
+    "features_window40",
+    "features_window1000",
     "features_multi_run",
     "features_modes_left_join",
     "features_21_sensors",
