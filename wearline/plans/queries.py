@@ -224,7 +224,7 @@ def features_split_engines(spark, sf_dir):
 
 
 _TYPES = f"""{PANEL}, types AS (
-  SELECT length(event_type) AS id,
+  SELECT CAST(length(event_type) AS INTEGER) AS id,
          CAST(row_number() OVER (PARTITION BY length(event_type) ORDER BY ts, event_id) AS INTEGER) AS cycle,
          CAST(hour(ts) AS DOUBLE) AS setting1, CAST(isodow(ts) AS DOUBLE) AS setting2, CAST(100 AS DOUBLE) AS setting3,
          value AS s1, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS s2,
