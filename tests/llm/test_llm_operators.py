@@ -543,7 +543,6 @@ def test_token_probabilities_sum_to_less_than_one():
     checks = bits.owners(words)
     counter = bits.BitCounter(checks)
     counter.add(words, np.array([5, 3, 2, 1, 9, 4], dtype=np.float32))
-    counter.flush()
     model = bits.Model(counter.counts, checks)
     sums = bits.Sums()
     model.learn(words, np.array([5, 3, 2, 1, 9, 4], dtype=np.float32), sums)
