@@ -80,7 +80,7 @@ def by_task(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     return kept
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
+def materialised(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder once and read back.
 
     Cuts the lineage in storage that outlives executors and keeps values such as generated row ids
@@ -88,7 +88,7 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     shared folder clears it.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
