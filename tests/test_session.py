@@ -69,3 +69,8 @@ def test_database_reads_are_split_by_key(monkeypatch):
 def test_database_without_driver_says_so(spark):
     with pytest.raises(Exception, match="(?i)driver"):
         jdbc.write_table(spark.range(1), "jdbc:none://x/y", "t")
+
+
+def test_methods_that_java_does_not_compile_are_cut(spark):
+    """Java interprets methods above 8,000 bytes of code, which cleaning 66 columns in one generated loop is."""
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
