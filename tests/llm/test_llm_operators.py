@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -305,6 +306,17 @@ def test_squares_rule_places_where_the_sum_is_least():
         assert gap in options and squares(gap) == min(map(squares, options))
 
 
+def test_encoders_parse_no_more_than_the_normalizer():
+    """An encoder is made per task; parsing its whole file would take 18 MB of Python objects for a while."""
+    source = word_ids.read_tokenizer(WORD_BPE)
+    tracemalloc.start()
+    encoder = word_ids.WordEncoder(source)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert encoder.by_word
+    assert peak < 12e6
+
+
 def test_packing(spark, texts, odd, empty):
     tokenizer = Tokenizer.from_file(WORD_BPE)
     rows = query(spark, "op5_packing")

@@ -50,8 +50,10 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        settings = json.loads(source)
-        kinds = [n["type"] for n in (settings["normalizer"] or {}).get("normalizers", [])]
+        # Only the normalizer's settings: the whole file takes up many times its size once parsed.
+        normalizer = self.tokenizer.normalizer
+        settings = json.loads(normalizer.__getstate__()) if normalizer else {}
+        kinds = [n["type"] for n in settings.get("normalizers", [])]
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"]
         self.letters = _latin_letters()
         self._forget()
