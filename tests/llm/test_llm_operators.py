@@ -581,6 +581,63 @@ def test_contexts_seldom_meet_in_a_slot():
         assert len(np.unique(bits._slot(keys, k))) > 0.85 * len(keys)
 
 
+@pytest.mark.parametrize("run", [256, 4])
+def test_weights_learn_by_a_step_per_bit(monkeypatch, run):
+    """Bit by bit: predicted by the weights that the bits before it left, then a step down its own slope."""
+    from wearline.llm import bit_mixing as bits
+
+    monkeypatch.setattr(bits, "RUN", run, raising=False)
+    words, times = [b"the", b"then", b"a", b"hen", b"never"], np.array([9, 4, 5, 1, 0], dtype=np.float32)
+    checks = bits.owners(words[:3])
+    counter = bits.BitCounter(checks)
+    counter.add(words, times)
+    model, sums = bits.Model(counter.counts, checks), bits.Sums()
+    model.learn(words, times, sums)
+    ((owner, bit, slots, check),) = bits.spelled(words)
+    x, confidence = bits.Model(counter.counts, checks)._without_self(bit, slots, check)
+    n = bit.shape[1]
+    long = -(-n // -(-n // run))
+    total, mass, followed = np.zeros((bits.GATES, bits.PREDICTORS)), np.zeros(bits.GATES), np.zeros_like(sums.followed)
+    for first in range(0, n, long):
+        weights, seen = np.full((bits.GATES, bits.PREDICTORS), 0.3), np.zeros(bits.GATES)
+        for i in range(first, min(first + long, n)):
+            for b in range(8):
+                if times[owner[i]]:
+                    gate, inputs = confidence[b, i] * 8 + b, x[:, b, i].astype(np.float64)
+                    z = weights[gate] @ inputs
+                    followed[bit[b, i], confidence[b, i], bits.bucket(z)] += 1
+                    weights[gate] += 0.02 * (bit[b, i] - 1 / (1 + np.exp(-z))) * inputs / (1 + 0.02 / 4 * inputs @ inputs)
+                    seen[gate] += 1
+        total += weights * seen[:, None]
+        mass += seen
+    assert sums.mass.tolist() == mass.tolist() and sums.followed.tolist() == followed.tolist()
+    wanted = np.where(mass[:, None] > 0, total / np.maximum(mass, 1)[:, None], 0.3)
+    assert model.weights == pytest.approx(wanted, abs=1e-5)
+
+
+def test_later_words_are_predicted_by_what_earlier_ones_taught():
+    from wearline.llm import bit_mixing as bits
+
+    words, times = [b"%dx" % i for i in range(100, 400)], np.ones(300, dtype=np.float32)
+    checks = bits.owners([])
+    counter = bits.BitCounter(checks)
+    counter.add(words, times)
+    once, twice = (bits.Sums() for _ in range(2))
+    model = bits.Model(counter.counts, checks)
+    model.learn(words, times, once)
+    flat = bits.Model(counter.counts, checks)
+    ((_, bit, slots, check),) = bits.spelled(words)
+    x, confidence = flat._without_self(bit, slots, check)
+    z = flat._mix(list(x), confidence)
+    np.add.at(twice.followed, (bit, confidence, bits.bucket(z)), 1)
+
+    def cost(followed):
+        shown = bits.squash((np.arange(bits.BUCKETS) - bits.BUCKETS // 2) / 2.0)
+        return -(followed[1] * np.log(shown) + followed[0] * np.log(1 - shown)).sum()
+
+    assert cost(once.followed) < cost(twice.followed)
+
+
 def test_token_probabilities_sum_to_less_than_one():
     from wearline.llm import bit_mixing as bits
 
