@@ -651,3 +651,51 @@ def test_token_probabilities_sum_to_less_than_one():
     model.refine = bits.refining(sums.followed)
     every = [bytes([a]) for a in range(256) if a != 32] + [bytes([a, b]) for a in range(256) for b in range(256) if 32 not in (a, b)]
     assert np.exp2(model.prepared().log2([b"", *every])).sum() <= 1 + 1e-6
+
+
+def test_words_so_far_are_counted_for_every_word(spark, tmp_path):
+    """Against brute force, over several parts and pieces: rare and long words, words below the end, words that only scored texts have."""
+    from wearline.llm import prefixes
+
+    rng = np.random.default_rng(5)
+    letters = ["\x01", "!", "a", "b", "c", "é", "𝄞"]
+    words = {"".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(3000)} | {"", "ab" * 60, "ab" * 60 + "c", "ab" * 60 + "\x01"}
+    n = {w: int(rng.integers(0, 4)) for w in sorted(words)}
+    path = str(tmp_path / "pieces")
+    counts = spark.createDataFrame(list(n.items()), "word string, n long").repartition(3)
+    prefixes.pieces(counts).write.parquet(path)
+    pieces = spark.read.parquet(path)
+    known = lm.vocabulary(pieces, n[""])
+    assert (known.tokens, known.distinct) == (sum(n.values()), sum(x > 0 for x in n.values()))
+    assert known.once == sum(x == 1 for w, x in n.items() if w)
+    borders = prefixes.borders(pieces)
+    assert len(borders) > 1 and pieces.count() > 2 * len(borders)
+    wanted = Counter()
+    for w, x in n.items():
+        path_of = "".join(f"{b:08b}" for b in w.encode() + b" ")
+        wanted.update({path_of[: i + 1]: x for i in range(len(path_of))})
+    seen = {}
+
+    class Sent:
+        value = borders
+
+    for batch in pieces.toArrow().to_batches(max_chunksize=7):
+        for block in prefixes.blocks(batch, Sent):
+            at = 0
+            for word, times in zip(block.words, block.n, strict=True):
+                seen[word.decode()] = int(times)
+                bits = "".join(f"{b:08b}" for b in word + b" ")
+                found = block.followed[:, :, at : at + len(bits) // 8].transpose(2, 1, 0).reshape(-1, 2)
+                assert found.tolist() == [[wanted[bits[:i] + "0"], wanted[bits[:i] + "1"]] for i in range(len(bits))]
+                at += len(bits) // 8
+    assert seen == n
+
+
+def test_long_words_are_predicted_by_the_word_so_far(spark):
+    """Words of more than 64 bytes that four bytes don't tell apart: a new one with their beginning costs little more than its own end."""
+    begin = "".join(np.random.default_rng(7).choice(["a", "b"], 90))
+    known = spark.createDataFrame([(i, f"{begin}{i:03d}") for i in range(300)], "doc_id long, text string")
+    new = spark.createDataFrame([(1, f"{begin}345")], "doc_id long, text string")
+    (row,) = lm.scored(new, known).collect()
+    # A bit a byte are 27 decimal digits.
+    assert row.n_known == 1 and row.score > -12
